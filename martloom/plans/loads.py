@@ -14,6 +14,7 @@ from martloom.operators.quality import enforce
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
 from martloom.schema import TARGETS, UPSERT_COLUMNS
+from martloom.session import materialize
 from martloom.sources.tables import extract
 
 MARK = T.StructType([T.StructField("high", T.TimestampNTZType())])
@@ -123,13 +124,17 @@ def apply_delta(
         if not changed.isEmpty():
             merged = upsert(read_target(store, name), changed, TARGETS[name].key, UPSERT_COLUMNS[name])
             written[name] = store.replace(name, merged)
-    sales = _sales(delta["purchases"], tables, days, True)
-    snapshot = facts.fact_inventory(tables["inventory"], facts.date_id_of(days, snapshot_date))
-    for name, batch in {"fact_sales": sales, "fact_inventory": snapshot}.items():
-        (folder,) = PARTITIONS[name]
-        stored = store.read(name, stored_schema(name))
-        fresh = rows_to_insert(stored, batch, TARGETS[name].key, within=folder)
-        written[name] = store.append(name, fresh, PARTITIONS[name])
+    # the batch is looked at three times (its years, its keys, its rows): join it once
+    sales = materialize(_sales(delta["purchases"], tables, days, True), "sales-batch")
+    stored = store.read("fact_sales", stored_schema("fact_sales"))
+    fresh = rows_to_insert(stored, sales, TARGETS["fact_sales"].key, within="year")
+    written["fact_sales"] = store.append("fact_sales", fresh, PARTITIONS["fact_sales"])
+
+    date_id = facts.date_id_of(days, snapshot_date)
+    snapshot = facts.fact_inventory(tables["inventory"], date_id)
+    same_day = read_target(store, "fact_inventory").where(F.col("date_id") == date_id)
+    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key)
+    written["fact_inventory"] = store.append("fact_inventory", fresh, PARTITIONS["fact_inventory"])
     return written
 
 

@@ -166,7 +166,7 @@ class _Views:
             F.col("s_suppkey").alias("phone_id"), F.col("s_suppkey").alias("store_id")
         )
 
-    def purchases(self) -> DataFrame:
+    def purchases(self, orders: DataFrame | None = None) -> DataFrame:
         seller = (
             self._raw("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -174,7 +174,7 @@ class _Views:
         )
         late = F.expr("o_orderdate + make_dt_interval(if(o_orderkey % 20 = 0, 400, 0))")
         return (
-            self._raw("orders")
+            (self._raw("orders") if orders is None else orders)
             .join(seller, "o_orderkey")
             .select(
                 F.col("o_orderkey").alias("id"),
@@ -240,13 +240,13 @@ class _Views:
             key.alias("position"),
         )
 
-    def demand(self) -> DataFrame:
+    def demand(self, lines: DataFrame | None = None) -> DataFrame:
         """Order lines as stock demand, with the five columns that order them."""
         sizes = self._raw("part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_size").cast("bigint").alias("size_id")
         )
         return (
-            self._raw("lineitem")
+            (self._raw("lineitem") if lines is None else lines)
             .select(
                 "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("quantity")
             )
@@ -254,9 +254,10 @@ class _Views:
         )
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    builder: Callable[[], DataFrame] = getattr(_Views(spark, sf_dir), name)
-    return builder()
+def view(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
+    """One view; ``base`` stands in for the raw table that purchases or demand start from."""
+    builder: Callable[..., DataFrame] = getattr(_Views(spark, sf_dir), name)
+    return builder() if base is None else builder(base)
 
 
 def bundle(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
