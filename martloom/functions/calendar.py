@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from martloom.schema import LOCAL_ZONE
 
 
+def zoneless(stamp: Column | dt.datetime) -> Column:
+    """A zone-less timestamp literal; comparing with it leaves the column uncast, so filters are pushed down."""
+    if isinstance(stamp, Column):
+        return stamp.cast("timestamp_ntz")
+    return F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_date(text: Column) -> Column:
     """Text to date; anything that is not a date becomes null, also under ANSI mode."""
     return text.try_cast("date")

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.calendar import zoneless
+
 
 class NoNewRecords(RuntimeError):
     """The increment holds no purchase."""
@@ -55,4 +57,4 @@ def first_n(df: DataFrame, position: str, n: int) -> DataFrame:
 
 def created_after(df: DataFrame, low) -> DataFrame:
     """Rows loaded after ``low``, newest first."""
-    return df.where(F.col("created_at") > F.lit(low)).orderBy(F.desc("created_at"))
+    return df.where(F.col("created_at") > zoneless(low)).orderBy(F.desc("created_at"))

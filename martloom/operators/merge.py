@@ -49,15 +49,15 @@ def rows_to_insert(
     """Rows of ``source`` whose key ``target`` lacks; the first row of a repeated key wins.
 
     ``within`` names a partition column of the target that is a function of the
-    key (the order year, the snapshot date).  Only partitions the batch touches
-    are then read.  The target is cut to the batch's keys before the anti join,
+    key and counts years or days.  The few values the batch has are looked up
+    first, so that only those partitions are listed and read.  The target is cut to the batch's keys before the anti join,
     so a small batch is broadcast and the large target is never shuffled.
     """
     keys = list(keys)
     fresh = first_per_key(source, keys, order_by)
     if within:
-        touched = source.select(within).distinct()
-        target = target.join(F.broadcast(touched), within, "left_semi")  # one row per year or day
+        touched = [row[0] for row in source.select(within).distinct().collect()]  # one per year or day
+        target = target.where(F.col(within).isin(touched))
     present = target.select(*keys).join(fresh.select(*keys), keys, "left_semi")
     return fresh.join(present, keys, "left_anti").select(*source.columns)
 

@@ -57,11 +57,14 @@ def fact_sales(
 ) -> DataFrame:
     """One row per purchase line that has a status, a price and a date.
 
-    Purchases meet their status first: both hold a purchase once, so that join has
-    no hot key, and its partitioning by purchase serves the lines as well.
+    Lines, purchases and status meet on the purchase id, so one exchange of the
+    lines serves both joins. Lines meet the purchases directly, exchange against
+    exchange: in that shape adaptive execution can cut up a purchase that holds a
+    large share of the lines. Prices follow on their own key, where the same holds
+    for a hot item; below the broadcast threshold they move no line at all.
     """
-    header = with_status(dated_purchases(purchases, dim_time, complete), status)
-    priced = with_prices(with_lines(header, lines), prices)
+    dated = dated_purchases(purchases, dim_time, complete)
+    priced = with_prices(with_status(with_lines(dated, lines), status), prices)
     valued = priced.withColumn("line_value", line_value(F.col("value"), F.col("quantity_sold")))
     shaped = [F.col(c.name).cast(c.type).alias(c.name) for c in TARGETS["fact_sales"].columns]
     return valued.select(*shaped, *(["year"] if keep_year else []))

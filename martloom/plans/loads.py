@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.functions.calendar import zoneless
 from martloom.operators.merge import rows_to_insert, upsert
 from martloom.operators.quality import enforce
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
 from martloom.schema import TARGETS, UPSERT_COLUMNS
 from martloom.session import materialize
-from martloom.sources.tables import extract
+from martloom.sources.tables import created_between, extract
 
 MARK = T.StructType([T.StructField("high", T.TimestampNTZType())])
 DEFAULT_LOW = dt.datetime(2025, 4, 22, 3)  # midnight of the first load day in local time, as UTC
@@ -66,7 +67,7 @@ def _sales(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFram
 
 
 def save_mark(store: TableStore, high: dt.datetime) -> None:
-    store.replace("load_mark", store.spark.range(1).select(F.lit(high).cast("timestamp_ntz").alias("high")))
+    store.replace("load_mark", store.spark.range(1).select(zoneless(high).alias("high")))
 
 
 def last_mark(store: TableStore) -> dt.datetime | None:
@@ -88,7 +89,7 @@ def load_full(
     snapshot_date = snapshot_date or dt.datetime.now(dt.UTC).date()
     purchases = tables["purchases"]
     if high is not None:
-        purchases = purchases.where(F.col("created_at") <= F.lit(high))
+        purchases = created_between(purchases, None, high)
     written = {"dim_time": store.replace("dim_time", dims.dim_time(purchases, snapshot_date))}
     days = read_target(store, "dim_time")
     for name, df in _dimensions(tables, tables).items():

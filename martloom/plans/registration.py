@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.calendar import zoneless
 from martloom.functions.text import customer_email, store_email
 from martloom.operators.audit import require_room
 from martloom.operators.keys import dense_ids
@@ -16,6 +17,11 @@ from martloom.session import materialize
 STOCK_KEYS = ["item_id", "size_id", "store_id"]
 
 
+def _stamp(created_at: Column | dt.datetime | None) -> Column:
+    """The load time of new rows: the one given, else now."""
+    return F.localtimestamp() if created_at is None else zoneless(created_at)
+
+
 def basket_lines(orders: DataFrame) -> DataFrame:
     """Lines of nested orders, a pair named twice in one basket summed to one line."""
     lines = orders.select("order_seq", "store_id", F.explode("lines").alias("line"))
@@ -27,7 +33,7 @@ def basket_lines(orders: DataFrame) -> DataFrame:
 def register_orders(
     orders: DataFrame,
     inventory: DataFrame,
-    created_at: Column | None = None,
+    created_at: Column | dt.datetime | None = None,
     last_id: int = 0,
     purchases: DataFrame | None = None,
     limit: int | None = None,
@@ -41,7 +47,7 @@ def register_orders(
     """
     if limit is not None and purchases is not None:
         require_room(purchases, limit)
-    stamp = created_at if created_at is not None else F.localtimestamp()
+    stamp = _stamp(created_at)
     judged = materialize(
         allocate(basket_lines(orders), inventory, STOCK_KEYS, ["order_seq"], max_group=max_group), "allocated"
     )
@@ -116,7 +122,7 @@ def register_customers(
     last_ids: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Nested customers (full_name, address struct, optional phone struct) to five linked tables."""
-    stamp = F.localtimestamp() if created_at is None else F.lit(created_at)
+    stamp = _stamp(created_at)
     return _register(
         customers, order_by, "customer", "customer_id", customer_email, "full_name", stamp, last_ids or {}
     )
@@ -129,6 +135,6 @@ def register_stores(
     last_ids: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Nested stores (name, address struct, optional phone struct) to five linked tables."""
-    stamp = F.localtimestamp() if created_at is None else F.lit(created_at)
+    stamp = _stamp(created_at)
     tables = _register(stores, order_by, "store", "store_id", store_email, "name", stamp, last_ids or {})
     return {**tables, "stores": tables["stores"].withColumnRenamed("store_id", "id")}

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for.  They only state intent; sizes are left to
 # the cluster (shuffle partitions are coalesced or split by adaptive execution).
+SKEW = (
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    # split a hot join key even when the next join on that key then needs an exchange of its own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin",
+)
 DEFAULTS = {
+    **dict.fromkeys(SKEW, "true"),
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # keep splitting hot join keys even when a later step wanted the partitioning
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -31,6 +34,13 @@ def build_session(app: str = "martloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Turn on the skew settings the joins rely on in a session made elsewhere."""
+    for key in SKEW:
+        spark.conf.set(key, "true")
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

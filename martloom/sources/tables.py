@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
 from martloom.schema import SLICED_SOURCES, SOURCES
 
@@ -79,8 +80,8 @@ def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def created_between(df: DataFrame, low, high=None) -> DataFrame:
     """Rows with ``low < created_at <= high``; the filter reaches parquet and JDBC scans."""
-    rows = df if low is None else df.where(F.col("created_at") > F.lit(low))
-    return rows if high is None else rows.where(F.col("created_at") <= F.lit(high))
+    rows = df if low is None else df.where(F.col("created_at") > zoneless(low))
+    return rows if high is None else rows.where(F.col("created_at") <= zoneless(high))
 
 
 def extract(

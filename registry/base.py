@@ -9,6 +9,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martloom.session import prepare
 from martloom.sources import testdata
 from registry.views import VIEWS
 
@@ -64,7 +65,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Inputs], DataFrame]):
         def run(spark: SparkSession, sf_dir: str, fn=fn) -> DataFrame:
-            return fn(Inputs(spark, sf_dir))
+            return fn(Inputs(prepare(spark), sf_dir))
 
         QUERIES[name] = partial(run)
         if sql:

@@ -337,7 +337,7 @@ FROM allocated a JOIN kept k ON k.order_seq = a.order_seq JOIN numbered n ON n.o
 )
 def ord_register(t: Inputs) -> DataFrame:
     few = t.inventory.withColumn("quantity", F.col("quantity") % 8)
-    made = register_orders(nested_orders(t), few, F.lit(HIGH).cast("timestamp_ntz"), last_id=1000)
+    made = register_orders(nested_orders(t), few, HIGH, last_id=1000)
     return (
         made["purchases"]
         .withColumnRenamed("id", "purchase_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,9 +94,7 @@ _SLICE_LOW, _SLICE_HIGH = "TIMESTAMP '2000-06-30'", "TIMESTAMP '2025-01-15'"
 
 
 def _slice(t: Inputs) -> dict[str, DataFrame]:
-    return extract(
-        t.bundle(*SLICED_SOURCES), F.lit("2000-06-30").cast("timestamp_ntz"), F.lit("2025-01-15").cast("timestamp_ntz")
-    )
+    return extract(t.bundle(*SLICED_SOURCES), dt.datetime(2000, 6, 30), dt.datetime(2025, 1, 15))
 
 
 _SLICE_WHERE = f"created_at > {_SLICE_LOW} AND created_at <= {_SLICE_HIGH}"
