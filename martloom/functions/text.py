@@ -23,9 +23,13 @@ def customer_email(full_name: Column) -> Column:
     """
     words = F.split(F.trim(F.regexp_replace(full_name, _BLANKS, " ")), " ")
     parts = F.filter(words, lambda w: (w != "") & ~F.lower(w).isin(*NAME_PARTICLES))
-    first, last = normalize_name(F.get(parts, F.lit(0))), normalize_name(F.try_element_at(parts, F.lit(-1)))
-    local = F.when(F.size(parts) == 1, first).when(F.size(parts) > 1, F.concat(first, F.lit("."), last))
-    return F.concat(local, F.lit("@example.com"))
+
+    def local(parts: Column) -> Column:
+        first, last = normalize_name(F.get(parts, F.lit(0))), normalize_name(F.try_element_at(parts, F.lit(-1)))
+        return F.when(F.size(parts) == 1, first).when(F.size(parts) > 1, F.concat(first, F.lit("."), last))
+
+    # the one-element array makes the parts a lambda variable, so that they are worked out once
+    return F.concat(F.get(F.transform(F.array(parts), local), F.lit(0)), F.lit("@example.com"))
 
 
 def store_email(store_name: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
+from martloom.operators.keys import dense_ids
 from martloom.schema import SLICED_SOURCES, SOURCES
 
 CATALOG_SCHEMA = T.StructType(
@@ -73,9 +74,16 @@ def write_jdbc(
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Catalog rows with ``position``, a number that grows in file order."""
+    """Catalog rows with their ``position`` in file order, from 0."""
     rows = spark.read.schema(CATALOG_SCHEMA).option("header", True).csv(path)
-    return rows.withColumn("position", F.monotonically_increasing_id())
+    place = ["_file", "_block", "_row"]
+    placed = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    return dense_ids(placed, place, "position", start=0).drop(*place)
 
 
 def created_between(df: DataFrame, low, high=None) -> DataFrame:

@@ -15,7 +15,7 @@ from martloom.operators.store import TableStore
 from martloom.plans import dims, facts, loads
 from martloom.plans.registration import register_customers, register_orders, register_stores
 from martloom.schema import SLICED_SOURCES, TARGETS, UPSERT_COLUMNS
-from martloom.session import work_path
+from martloom.session import materialize, work_path
 from martloom.sources import testdata
 from martloom.streaming import loads as streams
 from registry.base import FIRST_SNAPSHOT, HIGH, LOW, SNAPSHOT, Inputs, query
@@ -61,8 +61,8 @@ def snk_insert_ignore_dates(t: Inputs) -> DataFrame:
 def snk_insert_ignore_sales(t: Inputs) -> DataFrame:
     # every row arrives, known or new, and every row arrives twice with different quantities
     days = days_loaded(t)
-    target = sales(t, early(t), days_early(t))
-    source = sales(t, t.purchases, days)
+    target = materialize(sales(t, early(t), days_early(t)), "sales-target")
+    source = materialize(sales(t, t.purchases, days), "sales-batch")
     later = source.withColumn("quantity_sold", F.col("quantity_sold") + 1000)
     return insert_ignore(
         target, source.unionByName(later), TARGETS["fact_sales"].key, ["quantity_sold"]

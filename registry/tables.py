@@ -480,7 +480,10 @@ FROM fact_sales f JOIN dim_time d ON d.date_id = f.date_id JOIN dim_stores s ON
 JOIN dim_items i ON i.item_id = f.item_id GROUP BY 1, 2, 3, 4""",
 )
 def star_sales_by_region_quarter(t: Inputs) -> DataFrame:
-    built = targets(t)
+    d = days(t)
     return star.sales_by_region_quarter(
-        built["fact_sales"], built["dim_stores"], built["dim_items"], built["dim_time"]
+        sales(t, t.purchases, d),
+        dims.dim_stores(t.stores, t.stores_addresses, t.addresses),
+        dims.dim_items(t.items, t.categories),
+        d,
     )

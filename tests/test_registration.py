@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from conftest import D, rows
 
-from martloom.operators.audit import LimitReached
+from martloom.operators.audit import LimitReached, first_n
 from martloom.plans import catalog as cat
 from martloom.plans.registration import basket_lines, register_customers, register_orders, register_stores
 from martloom.sources.tables import JdbcSplit, jdbc_options, read_catalog_csv, read_parquet
@@ -83,6 +83,7 @@ def test_catalog_from_csv(spark, tmp_path):
     path = tmp_path / "catalog.csv"
     path.write_text(CSV)
     catalog = read_catalog_csv(spark, str(path))
+    assert rows(first_n(catalog, "position", 2), "position", "nome_item") == [(0, "Tablet"), (1, "Camisa")]
     made = cat.normalise(catalog)
     assert rows(made["categories"]) == [(1, "Eletronicos"), (2, "Moda"), (3, "Livros")]
     assert rows(made["sizes"]) == [(1, "G"), (2, "M"), (3, "P"), (4, "Unico")]
