@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.text import customer_email, store_email
 from martloom.schema import STATE_REGIONS
+from martloom.sources.tables import read_files
 
 RAW = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -26,8 +29,26 @@ RAW = {
 START = "timestamp_ntz'2025-01-01 00:00:00'"
 
 
+@lru_cache(maxsize=None)
+def _footer_schema(path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
+def _shape(df: DataFrame, name: str) -> DataFrame:
+    # files may hold a wider or narrower integer than declared; equal types cost nothing
+    fields = (field.split(" ") for field in RAW[name].split(", "))
+    return df.select(*(F.col(column).cast(kind).alias(column) for column, kind in fields))
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(RAW[name]).parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return _shape(spark.read.schema(_footer_schema(path)).parquet(path), name)
+
+
+def raw_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream; a glob, so that it may be one file or a folder of files."""
+    schema = _footer_schema(f"{sf_dir}/{name}.parquet")
+    return _shape(read_files(spark, f"{sf_dir}/{name}.parque[t]", schema), name)
 
 
 def _start_plus(days: str = "0") -> Column:

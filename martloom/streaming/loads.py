@@ -19,14 +19,6 @@ from martloom.session import materialize
 from martloom.sources.tables import created_between
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 0) -> DataFrame:
-    """File stream over a folder or glob of parquet files."""
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
-
-
 def _start(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(step)

@@ -429,15 +429,10 @@ def ord_register_stores(t: Inputs) -> DataFrame:
 # --- streams ------------------------------------------------------------------
 
 
-def _stream(t: Inputs, table: str) -> DataFrame:
-    # a glob, so that the table may be one file or a folder of files
-    return streams.read_files(t.spark, f"{t.sf_dir}/{table}.parque[t]", testdata.RAW[table])
-
-
 @query("str_incremental_load", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def str_incremental_load(t: Inputs) -> DataFrame:
     root = work_path(t.spark, "stream-events")
-    events = _stream(t, "events").drop("props")
+    events = testdata.raw_stream(t.spark, t.sf_dir, "events").drop("props")
     for attempt in ("first", "again"):  # the second run, with no memory of the first, adds nothing
         streams.stream_insert_ignore(
             events, root, "events", ["event_id"], "ts", f"{root}/checkpoint-{attempt}"
@@ -452,7 +447,7 @@ FROM fact_sales JOIN dim_time USING (date_id)""",
 )
 def str_sales_load(t: Inputs) -> DataFrame:
     root = work_path(t.spark, "stream-sales")
-    purchases = testdata.view(t.spark, t.sf_dir, "purchases", _stream(t, "orders"))
+    purchases = testdata.view(t.spark, t.sf_dir, "purchases", testdata.raw_stream(t.spark, t.sf_dir, "orders"))
     streams.stream_sales(
         purchases, t.bundle(*SLICED_SOURCES), root, f"{root}/checkpoint", SNAPSHOT
     ).awaitTermination()
@@ -467,6 +462,6 @@ def str_allocate_stock(t: Inputs) -> DataFrame:
     store = TableStore(t.spark, root)
     stock = t.inventory.select(*_KEYS, "quantity")
     streams.open_stock(store, stock)
-    lines = demand_lines(t, _stream(t, "lineitem"))
+    lines = demand_lines(t, testdata.raw_stream(t.spark, t.sf_dir, "lineitem"))
     streams.stream_allocate(lines, root, stock.schema, _KEYS, _ORDER, f"{root}/checkpoint").awaitTermination()
     return streams.read_allocated(t.spark, root, lines.schema).select(*_ORDER, "accepted")

@@ -8,6 +8,7 @@ from martloom.operators.store import TableStore
 from martloom.plans import loads
 from martloom.schema import SOURCES
 from martloom.session import work_path
+from martloom.sources.tables import read_files
 from martloom.streaming import loads as streams
 
 DAY = D(2025, 4, 24)
@@ -18,7 +19,7 @@ def test_sales_stream_equals_full_load(spark, toy):
     # two files, hence two micro-batches; the second repeats a purchase of the first
     toy["purchases"].where("id <= 3").coalesce(1).write.parquet(source)
     toy["purchases"].where("id >= 3").coalesce(1).write.mode("append").parquet(source)
-    stream = streams.read_files(spark, source, SOURCES["purchases"].struct, files_per_batch=1)
+    stream = read_files(spark, source, SOURCES["purchases"].struct, files_per_batch=1)
     streams.stream_sales(stream, toy, root, f"{root}/checkpoint", DAY).awaitTermination()
     store, whole = TableStore(spark, root), TableStore(spark, work_path(spark, "whole"))
     loads.load_full(toy, whole, DAY)
@@ -38,7 +39,7 @@ def test_stream_insert_ignore_is_idempotent(spark):
     data = spark.range(100).select("id", F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz").alias("ts"))
     data.write.parquet(source)
     for attempt in range(2):
-        stream = streams.read_files(spark, source, data.schema)
+        stream = read_files(spark, source, data.schema)
         streams.stream_insert_ignore(stream, root, "t", ["id"], "ts", f"{root}/c{attempt}").awaitTermination()
     assert TableStore(spark, root).read("t", data.schema).count() == 100
 
@@ -53,7 +54,7 @@ def test_allocation_carries_stock_between_batches(spark):
     streams.open_stock(store, stock)
 
     def drain():
-        stream = streams.read_files(spark, source, lines.schema, files_per_batch=1)
+        stream = read_files(spark, source, lines.schema, files_per_batch=1)
         streams.stream_allocate(
             stream, root, stock.schema, ["k"], ["seq"], f"{root}/checkpoint", max_group=20
         ).awaitTermination()
@@ -76,6 +77,6 @@ def test_replayed_batch_is_not_taken_twice(spark):
     store = TableStore(spark, root)
     streams.open_stock(store, stock)
     for attempt in range(2):  # the second query starts again at batch 0
-        stream = streams.read_files(spark, source, lines.schema)
+        stream = read_files(spark, source, lines.schema)
         streams.stream_allocate(stream, root, stock.schema, ["k"], ["seq"], f"{root}/c{attempt}").awaitTermination()
     assert rows(store.read("stock", stock.schema)) == [(1, 7)]
