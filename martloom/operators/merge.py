@@ -45,23 +45,39 @@ def rows_to_insert(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     within: str | None = None,
+    ranged: str | None = None,
 ) -> DataFrame:
     """Rows of ``source`` whose key ``target`` lacks; the first row of a repeated key wins.
 
     ``within`` names a partition column of the target that is a function of the
-    key and counts years or days.  The few values the batch has are looked up
-    first, so that only those partitions are listed and read.  The target is cut to the batch's keys before the anti join,
-    so a small batch is broadcast and the large target is never shuffled.
+    key and counts years or days; ``ranged`` a key column the target's files are
+    sorted by.  The few partition values and the range of the batch are looked up
+    first, so that other partitions and row groups are not read.  What is read is
+    cut to the batch's keys before the anti join, so that a batch under the
+    broadcast threshold moves no row of the target.
     """
     keys = list(keys)
     fresh = first_per_key(source, keys, order_by)
     if within:
         touched = [row[0] for row in source.select(within).distinct().collect()]  # one per year or day
         target = target.where(F.col(within).isin(touched))
+    if ranged:
+        target = in_range(target, ranged, key_range(source, ranged))
     present = target.select(*keys).join(fresh.select(*keys), keys, "left_semi")
     return fresh.join(present, keys, "left_anti").select(*source.columns)
 
 
+def key_range(df: DataFrame, column: str) -> tuple:
+    """Smallest and largest key, both null for an empty frame."""
+    return tuple(df.agg(F.min(column), F.max(column)).first())
+
+
+def in_range(df: DataFrame, column: str, bounds: tuple) -> DataFrame:
+    """Rows whose key lies within ``bounds``: literals, so that scans skip by file statistics."""
+    low, high = bounds
+    return df.where(F.lit(False)) if low is None else df.where(F.col(column).between(low, high))
+
+
 def insert_ignore(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -78,7 +94,10 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys; on a known key replace ``update_columns`` only. The last source row wins.
 
-    Presence is told by flags, since a null value is not an absent row.
+    The source is thought of as the small side: updates are a left join from the
+    target, which leaves a large target where it lies when the source is broadcast;
+    new keys are added apart. Whether a row arrives is told by a flag, since a null
+    value is not an absent row.
     """
     keys = list(keys)
     rest = [c for c in target.columns if c not in keys]
@@ -87,13 +106,13 @@ def upsert(
     )
 
     def merged(c: str) -> Column:
-        takes = F.col("_known").isNull()
-        if c in update_columns:
-            takes = takes | F.col("_arrives").isNotNull()
-        return F.when(takes, F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c)
-
-    return (
-        target.withColumn("_known", F.lit(True))
-        .join(incoming, keys, "full_outer")
-        .select(*(F.col(c) if c in keys else merged(c) for c in target.columns))
+        if c not in update_columns:
+            return F.col(c)
+        return F.when(F.col("_arrives").isNotNull(), F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c)
+
+    updated = target.join(incoming, keys, "left").select(*(merged(c) for c in target.columns))
+    known = target.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    added = incoming.join(known, keys, "left_anti").select(
+        *(F.col(c) if c in keys else F.col(f"_in_{c}").alias(c) for c in target.columns)
     )
+    return updated.unionByName(added)

@@ -40,25 +40,34 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+    def replace(
+        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    ) -> int:
         """Write ``df`` as the next version; returns its row count, taken while writing."""
         started = self._versions(table, "")
         path = f"{self.root}/{table}/v={(started[-1] if started else 0) + 1}"
-        return self._write(df, path, "errorifexists", partition_by)
+        return self._write(df, path, "errorifexists", partition_by, sort_by)
 
-    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+    def append(
+        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    ) -> int:
         """Add files to the current version; the caller has removed rows already there."""
         path = self.current(table)
         if path is None:
-            return self.replace(table, df, partition_by)
-        return self._write(df, path, "append", partition_by)
+            return self.replace(table, df, partition_by, sort_by)
+        return self._write(df, path, "append", partition_by, sort_by)
 
-    def _write(self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> int:
+    def _write(
+        self, df: DataFrame, path: str, mode: str, partition_by: Sequence[str], sort_by: Sequence[str]
+    ) -> int:
         seen = Observation()
         if partition_by:
             # adaptive execution then cuts a large partition value over many tasks and
             # packs small ones, instead of one file per task and value
             df = df.hint("rebalance", *partition_by)
+        if sort_by:
+            # narrow key ranges per row group, which later reads by key range skip by
+            df = df.sortWithinPartitions(*partition_by, *sort_by)
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
         if self.max_rows_per_file:
             writer = writer.option("maxRecordsPerFile", self.max_rows_per_file)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
-from martloom.operators.merge import rows_to_insert, upsert
+from martloom.operators.audit import require_rows
+from martloom.operators.merge import in_range, key_range, rows_to_insert, upsert
 from martloom.operators.quality import enforce
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
@@ -23,7 +24,10 @@ DEFAULT_LOW = dt.datetime(2025, 4, 22, 3)  # midnight of the first load day in l
 
 # Facts lie in one folder per order year or snapshot day, both functions of the fact's
 # key, so that an insert-ignore reads only the folders its batch touches.
-PARTITIONS = {"fact_sales": ("year",), "fact_inventory": ("date_id",)}
+# Within a folder sales are sorted by purchase: ids grow with time, so a batch overlaps
+# only the files of recent loads.
+SALES = {"partition_by": ("year",), "sort_by": ("purchase_id",)}
+SNAPSHOTS = {"partition_by": ("date_id",)}
 
 
 def stored_schema(table: str) -> T.StructType:
@@ -94,11 +98,9 @@ def load_full(
     days = read_target(store, "dim_time")
     for name, df in _dimensions(tables, tables).items():
         written[name] = store.replace(name, df)
-    written["fact_sales"] = store.replace(
-        "fact_sales", _sales(purchases, tables, days, False), PARTITIONS["fact_sales"]
-    )
+    written["fact_sales"] = store.replace("fact_sales", _sales(purchases, tables, days, False), **SALES)
     stock = facts.fact_inventory(tables["inventory"], facts.date_id_of(days, snapshot_date))
-    written["fact_inventory"] = store.replace("fact_inventory", stock, PARTITIONS["fact_inventory"])
+    written["fact_inventory"] = store.replace("fact_inventory", stock, **SNAPSHOTS)
     if strict:
         enforce(read_targets(store), TARGETS)
     if high is not None:
@@ -116,26 +118,33 @@ def apply_delta(
 
     Dimensions are upserted, new dates and new facts appended. Every step skips
     keys already there, so a slice that failed half-way or overlaps is simply run again.
+    Pass purchases as a stored frame: it is read several times, and its real size
+    decides whether lines and status are joined to it without being shuffled.
     """
+    purchases = delta["purchases"]
     days = read_target(store, "dim_time")
-    added = dims.dim_time_additions(days, delta["purchases"], snapshot_date)
+    added = dims.dim_time_additions(days, purchases, snapshot_date)
     written = {"dim_time": store.append("dim_time", added)}
     days = read_target(store, "dim_time")  # numbered and stored before any fact refers to it
     for name, changed in _dimensions(delta, tables).items():
+        changed = materialize(changed, "dimension-batch")
         if not changed.isEmpty():
             merged = upsert(read_target(store, name), changed, TARGETS[name].key, UPSERT_COLUMNS[name])
             written[name] = store.replace(name, merged)
-    # the batch is looked at three times (its years, its keys, its rows): join it once
-    sales = materialize(_sales(delta["purchases"], tables, days, True), "sales-batch")
+    # lines and status of other purchases are kept out by the range of ids, exactly and by file statistics
+    bounds = key_range(purchases, "id")
+    owned = {n: in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status")}
+    # the batch is looked at several times (its years, its keys, its rows): join it once
+    sales = materialize(_sales(purchases, {**tables, **owned}, days, True), "sales-batch")
     stored = store.read("fact_sales", stored_schema("fact_sales"))
-    fresh = rows_to_insert(stored, sales, TARGETS["fact_sales"].key, within="year")
-    written["fact_sales"] = store.append("fact_sales", fresh, PARTITIONS["fact_sales"])
+    fresh = rows_to_insert(stored, sales, TARGETS["fact_sales"].key, within="year", ranged="purchase_id")
+    written["fact_sales"] = store.append("fact_sales", fresh, **SALES)
 
     date_id = facts.date_id_of(days, snapshot_date)
     snapshot = facts.fact_inventory(tables["inventory"], date_id)
     same_day = read_target(store, "fact_inventory").where(F.col("date_id") == date_id)
     fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key)
-    written["fact_inventory"] = store.append("fact_inventory", fresh, PARTITIONS["fact_inventory"])
+    written["fact_inventory"] = store.append("fact_inventory", fresh, **SNAPSHOTS)
     return written
 
 
@@ -152,7 +161,9 @@ def load_incremental(
     ``low`` stands in while no mark is stored. Raises NoNewRecords on an empty slice.
     """
     low = (last_mark(store) or low) - look_back
-    delta = extract(tables, low, high, require_new=True)
+    delta = extract(tables, low, high)
+    delta["purchases"] = materialize(delta["purchases"], "delta")
+    require_rows(delta["purchases"])
     written = apply_delta(delta, tables, store, snapshot_date or high.date())
     save_mark(store, high)
     return written

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
-from martloom.operators.audit import require_rows
 from martloom.operators.keys import dense_ids
 from martloom.schema import SLICED_SOURCES, SOURCES
 
@@ -100,13 +99,8 @@ def created_between(df: DataFrame, low, high=None) -> DataFrame:
     return rows if high is None else rows.where(F.col("created_at") <= zoneless(high))
 
 
-def extract(
-    tables: Mapping[str, DataFrame], low=None, high=None, require_new: bool = False
-) -> dict[str, DataFrame]:
+def extract(tables: Mapping[str, DataFrame], low=None, high=None) -> dict[str, DataFrame]:
     """All tables when no mark is given, else the slice ``(low, high]`` of the 13 sliced ones."""
     if low is None and high is None:
         return dict(tables)
-    delta = {n: created_between(tables[n], low, high) for n in SLICED_SOURCES if n in tables}
-    if require_new:
-        require_rows(delta["purchases"])
-    return delta
+    return {n: created_between(tables[n], low, high) for n in SLICED_SOURCES if n in tables}

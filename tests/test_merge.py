@@ -93,3 +93,30 @@ def test_store_passes_over_unfinished_versions(spark):
     assert store.read("t", spark.range(0).schema).count() == 3
     store.replace("t", spark.range(4))
     assert store.current("t").endswith("v=3")
+
+
+def test_row_limit_per_file_and_sorted_row_groups(spark):
+    import pyarrow.parquet as pq
+
+    store = TableStore(spark, work_path(spark, "store"), max_rows_per_file=100)
+    store.replace("t", spark.range(250).coalesce(1).select("id", F.lit(1).alias("p")), ["p"], ["id"])
+    files = spark.read.parquet(store.current("t")).inputFiles()
+    sizes, ranges = [], []
+    for f in files:
+        column = pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0).statistics
+        ranges.append((column.min, column.max))
+        sizes.append(column.num_values)
+    assert sorted(sizes) == [50, 100, 100]
+    assert sorted(ranges) == [(0, 99), (100, 199), (200, 249)]
+
+
+def test_small_batch_moves_no_target_row(spark):
+    root = work_path(spark, "sides")
+    spark.range(50_000).select("id", F.lit("x").alias("v")).write.parquet(f"{root}/target")
+    spark.range(49_990, 50_010).select("id", F.lit("y").alias("v")).write.parquet(f"{root}/batch")
+    target, batch = spark.read.parquet(f"{root}/target"), spark.read.parquet(f"{root}/batch")
+    for merged in (upsert(target, batch, ["id"], ["v"]), rows_to_insert(target, batch, ["id"], ranged="id")):
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert upsert(target, batch, ["id"], ["v"]).where("v = 'y'").count() == 20
+    assert rows_to_insert(target, batch, ["id"], ranged="id").count() == 10
