@@ -11,6 +11,8 @@ totals, after which all chunks are folded in parallel like small keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -211,8 +213,9 @@ def allocate(
     hot_keys = hot.select(*keys)
     if n_hot <= MAX_BROADCAST_KEYS:
         hot_keys = F.broadcast(hot_keys)
-    cold = _allocate_cold(lines.join(hot_keys, keys, "left_anti"), opening, keys, order_by, quantity)
-    hot_lines = lines.join(hot_keys, keys, "left_semi")
+    same = reduce(and_, (lines[k].eqNullSafe(hot_keys[k]) for k in keys))  # a null key can be hot, too
+    cold = _allocate_cold(lines.join(hot_keys, same, "left_anti"), opening, keys, order_by, quantity)
+    hot_lines = lines.join(hot_keys, same, "left_semi")
     hot_stock = opening.join(hot_keys, keys, "left_semi")
     return cold.unionByName(
         _allocate_hot(hot_lines, hot_stock, keys, order_by, quantity, max_group)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.session import delete
+
 
 class TableStore:
     """Tables below ``root``; each version is a directory ``<table>/v=<n>``.
@@ -15,10 +17,12 @@ class TableStore:
     A version counts once Spark has written its ``_SUCCESS`` marker, so readers
     see the old or the new table, never half of one.  A failed write leaves a
     directory without marker, which is passed over.  One writer at a time.
+    ``keep`` is the number of versions left after a replacement, 0 for all; it
+    should outlast the longest reader.
     """
 
-    def __init__(self, spark: SparkSession, root: str, max_rows_per_file: int = 0):
-        self.spark, self.root, self.max_rows_per_file = spark, root.rstrip("/"), max_rows_per_file
+    def __init__(self, spark: SparkSession, root: str, max_rows_per_file: int = 0, keep: int = 0):
+        self.spark, self.root, self.max_rows_per_file, self.keep = spark, root.rstrip("/"), max_rows_per_file, keep
 
     def _versions(self, table: str, marker: str) -> list[int]:
         jvm = self.spark._jvm
@@ -46,7 +50,13 @@ class TableStore:
         """Write ``df`` as the next version; returns its row count, taken while writing."""
         started = self._versions(table, "")
         path = f"{self.root}/{table}/v={(started[-1] if started else 0) + 1}"
-        return self._write(df, path, "errorifexists", partition_by, sort_by)
+        rows = self._write(df, path, "errorifexists", partition_by, sort_by)
+        if self.keep:
+            kept = self._versions(table, "/_SUCCESS")[-self.keep :]
+            for old in self._versions(table, ""):
+                if old < kept[0]:
+                    delete(self.spark, f"{self.root}/{table}/v={old}")
+        return rows
 
     def append(
         self, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()

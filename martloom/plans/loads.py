@@ -16,7 +16,7 @@ from martloom.operators.quality import enforce
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
 from martloom.schema import TARGETS, UPSERT_COLUMNS
-from martloom.session import materialize
+from martloom.session import materialize, staging
 from martloom.sources.tables import created_between, extract
 
 MARK = T.StructType([T.StructField("high", T.TimestampNTZType())])
@@ -162,8 +162,9 @@ def load_incremental(
     """
     low = (last_mark(store) or low) - look_back
     delta = extract(tables, low, high)
-    delta["purchases"] = materialize(delta["purchases"], "delta")
-    require_rows(delta["purchases"])
-    written = apply_delta(delta, tables, store, snapshot_date or high.date())
+    with staging(store.spark):
+        delta["purchases"] = materialize(delta["purchases"], "delta")
+        require_rows(delta["purchases"])
+        written = apply_delta(delta, tables, store, snapshot_date or high.date())
     save_mark(store, high)
     return written

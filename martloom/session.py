@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +65,31 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/martloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Drop what ``materialize`` wrote inside the block at its end.
+
+    For blocks that finish their work, such as a load; frames made inside must
+    not be read afterwards.
+    """
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def materialize(df: DataFrame, purpose: str = "cut") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -70,5 +98,8 @@ def materialize(df: DataFrame, purpose: str = "cut") -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, purpose)
+    scope = _staged.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

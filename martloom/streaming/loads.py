@@ -15,7 +15,7 @@ from martloom.operators.stock import MAX_GROUP, allocate, apply_decrements
 from martloom.operators.store import TableStore
 from martloom.plans.loads import apply_delta, create_targets, last_mark, save_mark
 from martloom.schema import SLICED_SOURCES
-from martloom.session import materialize
+from martloom.session import materialize, staging
 from martloom.sources.tables import created_between
 
 
@@ -70,12 +70,13 @@ def stream_sales(
         store = TableStore(batch.sparkSession, root)
         if not store.exists("fact_sales"):
             create_targets(store)
-        batch = materialize(batch, "batch")
-        low, high = last_mark(store), batch.agg(F.max("created_at")).first()[0]
-        if low is not None:
-            high = max(low, high)
-        delta = {n: created_between(tables[n], low, high) for n in SLICED_SOURCES if n in tables}
-        apply_delta({**delta, "purchases": batch}, tables, store, snapshot_date)
+        with staging(batch.sparkSession):
+            batch = materialize(batch, "batch")
+            low, high = last_mark(store), batch.agg(F.max("created_at")).first()[0]
+            if low is not None:
+                high = max(low, high)
+            delta = {n: created_between(tables[n], low, high) for n in SLICED_SOURCES if n in tables}
+            apply_delta({**delta, "purchases": batch}, tables, store, snapshot_date)
         save_mark(store, high)
 
     return _start(purchases, step, checkpoint)
@@ -108,13 +109,14 @@ def stream_allocate(
     stored = T.StructType([*stock_schema, T.StructField(STOCK_BATCH, T.LongType())])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        store = TableStore(batch.sparkSession, root)
+        store = TableStore(batch.sparkSession, root, keep=3)
         stock = store.read("stock", stored)
         if batch.isEmpty() or stock.agg(F.max(STOCK_BATCH)).first()[0] >= batch_id:
             return
         path = f"{root}/allocated/batch={batch_id}"
-        judged = allocate(batch, stock, keys, order_by, max_group=max_group)
-        judged.write.mode("overwrite").parquet(path)
+        with staging(batch.sparkSession):
+            judged = allocate(batch, stock, keys, order_by, max_group=max_group)
+            judged.write.mode("overwrite").parquet(path)
         taken = batch.sparkSession.read.schema(judged.schema).parquet(path).where("accepted")
         left = apply_decrements(stock.drop(STOCK_BATCH), taken, keys)
         store.replace("stock", left.withColumn(STOCK_BATCH, F.lit(batch_id).cast("bigint")))

@@ -41,7 +41,7 @@ TOY = {
     "sizes": [(1, "Unico", OLD), (2, "P", OLD)],
     "items_sizes": [(1, 1, OLD), (2, 1, OLD), (2, 2, OLD), (3, 1, NEW)],
     "prices": [(1, 1, Decimal("100.10"), OLD), (2, 1, Decimal("20.00"), OLD), (3, 1, Decimal("55.55"), NEW)],
-    "stores": [(1, "Casa Bela", "contato@casa_bela.com.br", OLD), (2, "Tech Mania", "x@y", OLD), (3, "Sem Lugar", "z@y", OLD)],
+    "stores": [(1, "Loja Azul", "contato@loja_azul.com.br", OLD), (2, "Ponto Certo", "x@y", OLD), (3, "Sem Lugar", "z@y", OLD)],
     "addresses": [
         (10, "Rua A", "1", None, None, "Recife", "PE", "50000-000", "Brasil", OLD),
         (11, "Rua B", "2", "Sala 2", "Centro", "Curitiba", "PR", "80000", "Brasil", OLD),

@@ -34,8 +34,8 @@ def test_customer_email(spark):
 
 
 STORES = {
-    "Casa Bela": "contato@casa_bela.com.br",
-    "  Tech -- Mania!": "contato@tech_mania.com.br",
+    "Loja Azul": "contato@loja_azul.com.br",
+    "  Ponto -- Certo!": "contato@ponto_certo.com.br",
     "Loja nº 1": "contato@loja_n_1.com.br",
     "_x_": "contato@x.com.br",
     "---": None,

@@ -37,8 +37,8 @@ def test_full_load_golden(spark, toy):
         (2, "Ana", "ana@example.com", NEW),
     ]
     assert rows(got["dim_stores"]) == [
-        (1, "Casa Bela", "Curitiba", "PR", "Sul", "80000"),  # the younger of two addresses
-        (2, "Tech Mania", None, "SP", "Sudeste", "01000000"),
+        (1, "Loja Azul", "Curitiba", "PR", "Sul", "80000"),  # the younger of two addresses
+        (2, "Ponto Certo", None, "SP", "Sudeste", "01000000"),
         (3, "Sem Lugar", None, None, None, None),
     ]
     assert rows(got["fact_sales"]) == [

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from martloom.operators.keys import dense_ids, max_key, pair_by_position
 from martloom.operators.merge import difference, first_per_key, insert_ignore, last_per_key, rows_to_insert, upsert
 from martloom.operators.store import TableStore
-from martloom.session import work_path
+from martloom.session import materialize, staging, work_path
 
 SCHEMA = "k int, a string, b string"
 
@@ -85,6 +85,26 @@ def test_store_versions(spark):
     assert store.current("t").endswith("v=2")
 
 
+def test_store_keeps_the_last_versions(spark):
+    store = TableStore(spark, work_path(spark, "store"), keep=2)
+    for n in range(1, 5):
+        store.replace("t", spark.range(n))
+    assert store._versions("t", "") == [3, 4]
+    assert store.read("t", spark.range(0).schema).count() == 4
+
+
+def test_staged_files_go_with_their_block(spark):
+    import os
+
+    with staging(spark):
+        inside = materialize(spark.range(5))
+        where = inside.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(where)
+    assert not os.path.exists(where)
+    outside = materialize(spark.range(5))
+    assert outside.count() == 5
+
+
 def test_store_passes_over_unfinished_versions(spark):
     store = TableStore(spark, work_path(spark, "store"))
     store.replace("t", spark.range(3))

@@ -32,6 +32,12 @@ def test_allocation_agrees_with_a_plain_loop(spark, max_group):
     assert run(spark, lines, stock, max_group) == brute_force(lines, stock)
 
 
+def test_hot_null_key_is_refused_in_pieces(spark):
+    lines = [(None, i, 1) for i in range(300)] + [(1, 300, 2), (1, 301, 2)]
+    verdicts = run(spark, lines, {1: 3}, 50)
+    assert len(verdicts) == 302 and [k for k, ok in verdicts.items() if ok] == [(1, 300)]
+
+
 def test_every_refusal_lowers_the_bar(spark):
     # 1, 100, 1, 99, 1, 98 …: each large line just fails to fit, as many rounds as there can be
     lines = []
