@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +52,13 @@ def create_targets(store: TableStore) -> None:
         store.replace(table, store.spark.createDataFrame([], stored_schema(table)))
 
 
+def _together(jobs: Mapping[str, Callable[[], int]]) -> dict[str, int]:
+    """Run writes that do not depend on each other side by side, so that small ones fill idle slots."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in started.items()}
+
+
 def _dimensions(driving: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "dim_customers": dims.dim_customers(driving["customers"]),
@@ -96,11 +106,16 @@ def load_full(
         purchases = created_between(purchases, None, high)
     written = {"dim_time": store.replace("dim_time", dims.dim_time(purchases, snapshot_date))}
     days = read_target(store, "dim_time")
-    for name, df in _dimensions(tables, tables).items():
-        written[name] = store.replace(name, df)
-    written["fact_sales"] = store.replace("fact_sales", _sales(purchases, tables, days, False), **SALES)
+    built = _dimensions(tables, tables)
+    written |= _together({name: partial(store.replace, name, df) for name, df in built.items()})
+    sales = _sales(purchases, tables, days, False)
     stock = facts.fact_inventory(tables["inventory"], facts.date_id_of(days, snapshot_date))
-    written["fact_inventory"] = store.replace("fact_inventory", stock, **SNAPSHOTS)
+    written |= _together(
+        {
+            "fact_sales": partial(store.replace, "fact_sales", sales, **SALES),
+            "fact_inventory": partial(store.replace, "fact_inventory", stock, **SNAPSHOTS),
+        }
+    )
     if strict:
         enforce(read_targets(store), TARGETS)
     if high is not None:
@@ -126,11 +141,29 @@ def apply_delta(
     added = dims.dim_time_additions(days, purchases, snapshot_date)
     written = {"dim_time": store.append("dim_time", added)}
     days = read_target(store, "dim_time")  # numbered and stored before any fact refers to it
-    for name, changed in _dimensions(delta, tables).items():
-        changed = materialize(changed, "dimension-batch")
-        if not changed.isEmpty():
-            merged = upsert(read_target(store, name), changed, TARGETS[name].key, UPSERT_COLUMNS[name])
-            written[name] = store.replace(name, merged)
+    changes = _dimensions(delta, tables)
+    written |= _together({name: partial(_upsert, store, name, df) for name, df in changes.items()})
+    date_id = facts.date_id_of(days, snapshot_date)
+    written |= _together(
+        {
+            "fact_sales": partial(_add_sales, store, purchases, tables, days),
+            "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id),
+        }
+    )
+    return written
+
+
+def _upsert(store: TableStore, name: str, changed: DataFrame) -> int:
+    changed = materialize(changed, "dimension-batch")
+    if changed.isEmpty():
+        return 0
+    merged = upsert(read_target(store, name), changed, TARGETS[name].key, UPSERT_COLUMNS[name])
+    return store.replace(name, merged)
+
+
+def _add_sales(
+    store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame
+) -> int:
     # lines and status of other purchases are kept out by the range of ids, exactly and by file statistics
     bounds = key_range(purchases, "id")
     owned = {n: in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status")}
@@ -138,14 +171,13 @@ def apply_delta(
     sales = materialize(_sales(purchases, {**tables, **owned}, days, True), "sales-batch")
     stored = store.read("fact_sales", stored_schema("fact_sales"))
     fresh = rows_to_insert(stored, sales, TARGETS["fact_sales"].key, within="year", ranged="purchase_id")
-    written["fact_sales"] = store.append("fact_sales", fresh, **SALES)
+    return store.append("fact_sales", fresh, **SALES)
 
-    date_id = facts.date_id_of(days, snapshot_date)
-    snapshot = facts.fact_inventory(tables["inventory"], date_id)
+
+def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int) -> int:
     same_day = read_target(store, "fact_inventory").where(F.col("date_id") == date_id)
-    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key)
-    written["fact_inventory"] = store.append("fact_inventory", fresh, **SNAPSHOTS)
-    return written
+    fresh = rows_to_insert(same_day, facts.fact_inventory(inventory, date_id), TARGETS["fact_inventory"].key)
+    return store.append("fact_inventory", fresh, **SNAPSHOTS)
 
 
 def load_incremental(

@@ -146,3 +146,13 @@ def test_limit(spark):
     require_room(spark.range(499), 500)
     with pytest.raises(LimitReached):
         require_room(spark.range(500), 500)
+
+
+def test_default_days_and_stamps(spark, toy):
+    from martloom.plans.registration import _stamp
+
+    store, today = new_store(spark), dt.datetime.now(dt.UTC).date()
+    loads.load_full(toy, store)
+    assert facts.date_id_of(loads.read_target(store, "dim_time"), today) == 5  # after the four order dates
+    now = spark.range(1).select(_stamp(None).alias("s")).first()["s"]
+    assert abs(now - dt.datetime.now(dt.UTC).replace(tzinfo=None)) < dt.timedelta(minutes=5)
