@@ -113,23 +113,29 @@ def outside_domain(df: DataFrame, table: Table, column: str, allowed: DataFrame)
     )
 
 
-def check(
-    tables: Mapping[str, DataFrame], declared: Mapping[str, Table], references: bool = True
-) -> DataFrame:
-    """Every violation of every declared rule: (table_name, rule, key, value, n_rows)."""
-    found = []
-    for name, df in tables.items():
-        table = declared[name]
-        found.append(row_violations(df, table))
-        found.append(duplicate_keys(df, table))
-        found += [duplicate_keys(df, table, u) for u in table.unique]
-        if references:
-            found += [
-                orphans(df, table, r, tables[r.parent]) for r in table.references if r.parent in tables
-            ]
+def violations(df: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Every broken rule of one table: (table_name, rule, key, value, n_rows).
+
+    Foreign keys are checked against the ``parents`` given.
+    """
+    found = [row_violations(df, table), duplicate_keys(df, table)]
+    found += [duplicate_keys(df, table, u) for u in table.unique]
+    found += [orphans(df, table, r, parents[r.parent]) for r in table.references if r.parent in (parents or {})]
     return union_all(found)
 
 
+def check(tables: Mapping[str, DataFrame], declared: Mapping[str, Table]) -> DataFrame:
+    """Every broken rule of every table."""
+    return union_all([violations(df, declared[name], tables) for name, df in tables.items()])
+
+
+def enforce(found: DataFrame) -> None:
+    """Raise when there are violations, naming the first few."""
+    some = found.take(5)
+    if some:
+        raise RuleViolation("; ".join(f"{v.table_name} {v.rule} {v.key}" for v in some))
+
+
 def split(df: DataFrame, table: Table, tables: Mapping[str, DataFrame] | None = None):
     """(good, rejected) rows; rejected rows carry the broken rules in ``broken_rules``.
 
@@ -153,10 +159,3 @@ def split(df: DataFrame, table: Table, tables: Mapping[str, DataFrame] | None =
     judged = judged.select(*df.columns, F.array_compact(F.array(*broken)).alias("broken_rules"))
     good = judged.where(F.size("broken_rules") == 0).drop("broken_rules")
     return good, judged.where(F.size("broken_rules") > 0)
-
-
-def enforce(tables: Mapping[str, DataFrame], declared: Mapping[str, Table], references: bool = True) -> None:
-    """Raise on the first violations found."""
-    found = check(tables, declared, references).take(5)
-    if found:
-        raise RuleViolation("; ".join(f"{v.table_name} {v.rule} {v.key}" for v in found))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
 from martloom.operators.merge import in_range, key_range, rows_to_insert, upsert
-from martloom.operators.quality import enforce
+from martloom.operators.quality import check, enforce, violations
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
 from martloom.schema import TARGETS, UPSERT_COLUMNS
@@ -29,8 +29,10 @@ DEFAULT_LOW = dt.datetime(2025, 4, 22, 3)  # midnight of the first load day in l
 # key, so that an insert-ignore reads only the folders its batch touches.
 # Within a folder sales are sorted by purchase: ids grow with time, so a batch overlaps
 # only the files of recent loads.
-SALES = {"partition_by": ("year",), "sort_by": ("purchase_id",)}
-SNAPSHOTS = {"partition_by": ("date_id",)}
+LAYOUT = {
+    "fact_sales": {"partition_by": ("year",), "sort_by": ("purchase_id",)},
+    "fact_inventory": {"partition_by": ("date_id",)},
+}
 
 
 def stored_schema(table: str) -> T.StructType:
@@ -99,25 +101,24 @@ def load_full(
     """Write all seven targets anew, dimensions first; returns rows written per table.
 
     ``high`` keeps purchases up to a mark and stores it for the next increment.
+    With ``strict`` nothing is written when a row breaks a declared rule.
     """
     snapshot_date = snapshot_date or dt.datetime.now(dt.UTC).date()
-    purchases = tables["purchases"]
-    if high is not None:
-        purchases = created_between(purchases, None, high)
-    written = {"dim_time": store.replace("dim_time", dims.dim_time(purchases, snapshot_date))}
-    days = read_target(store, "dim_time")
-    built = _dimensions(tables, tables)
-    written |= _together({name: partial(store.replace, name, df) for name, df in built.items()})
-    sales = _sales(purchases, tables, days, False)
-    stock = facts.fact_inventory(tables["inventory"], facts.date_id_of(days, snapshot_date))
-    written |= _together(
-        {
-            "fact_sales": partial(store.replace, "fact_sales", sales, **SALES),
-            "fact_inventory": partial(store.replace, "fact_inventory", stock, **SNAPSHOTS),
+    purchases = tables["purchases"] if high is None else created_between(tables["purchases"], None, high)
+    with staging(store.spark):
+        days = materialize(dims.dim_time(purchases, snapshot_date), "days")
+        built = {
+            "dim_time": days,
+            **_dimensions(tables, tables),
+            "fact_sales": _sales(purchases, tables, days, False),
+            "fact_inventory": facts.fact_inventory(tables["inventory"], facts.date_id_of(days, snapshot_date)),
         }
-    )
-    if strict:
-        enforce(read_targets(store), TARGETS)
+        if strict:
+            built = {name: materialize(df, "checked") for name, df in built.items()}
+            enforce(check(built, TARGETS))
+        writes = {name: partial(store.replace, name, df, **LAYOUT.get(name, {})) for name, df in built.items()}
+        written = _together({name: job for name, job in writes.items() if name not in LAYOUT})
+        written |= _together({name: job for name, job in writes.items() if name in LAYOUT})
     if high is not None:
         save_mark(store, high)
     return written
@@ -128,6 +129,7 @@ def apply_delta(
     tables: Mapping[str, DataFrame],
     store: TableStore,
     snapshot_date: dt.date,
+    strict: bool = False,
 ) -> dict[str, int]:
     """Bring a slice into the targets. The slice drives; lookups are read in full.
 
@@ -135,6 +137,7 @@ def apply_delta(
     keys already there, so a slice that failed half-way or overlaps is simply run again.
     Pass purchases as a stored frame: it is read several times, and its real size
     decides whether lines and status are joined to it without being shuffled.
+    With ``strict`` a row that breaks a declared rule stops its table from being written.
     """
     purchases = delta["purchases"]
     days = read_target(store, "dim_time")
@@ -142,42 +145,54 @@ def apply_delta(
     written = {"dim_time": store.append("dim_time", added)}
     days = read_target(store, "dim_time")  # numbered and stored before any fact refers to it
     changes = _dimensions(delta, tables)
-    written |= _together({name: partial(_upsert, store, name, df) for name, df in changes.items()})
+    written |= _together({name: partial(_upsert, store, name, df, strict) for name, df in changes.items()})
     date_id = facts.date_id_of(days, snapshot_date)
     written |= _together(
         {
-            "fact_sales": partial(_add_sales, store, purchases, tables, days),
-            "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id),
+            "fact_sales": partial(_add_sales, store, purchases, tables, days, strict),
+            "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id, strict),
         }
     )
     return written
 
 
-def _upsert(store: TableStore, name: str, changed: DataFrame) -> int:
+def _hold_to_rules(store: TableStore, name: str, batch: DataFrame) -> None:
+    table = TARGETS[name]
+    enforce(violations(batch, table, {r.parent: read_target(store, r.parent) for r in table.references}))
+
+
+def _upsert(store: TableStore, name: str, changed: DataFrame, strict: bool) -> int:
     changed = materialize(changed, "dimension-batch")
     if changed.isEmpty():
         return 0
+    if strict:
+        _hold_to_rules(store, name, changed)
     merged = upsert(read_target(store, name), changed, TARGETS[name].key, UPSERT_COLUMNS[name])
     return store.replace(name, merged)
 
 
 def _add_sales(
-    store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame
+    store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame, strict: bool
 ) -> int:
     # lines and status of other purchases are kept out by the range of ids, exactly and by file statistics
     bounds = key_range(purchases, "id")
     owned = {n: in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status")}
     # the batch is looked at several times (its years, its keys, its rows): join it once
     sales = materialize(_sales(purchases, {**tables, **owned}, days, True), "sales-batch")
+    if strict:
+        _hold_to_rules(store, "fact_sales", sales)
     stored = store.read("fact_sales", stored_schema("fact_sales"))
     fresh = rows_to_insert(stored, sales, TARGETS["fact_sales"].key, within="year", ranged="purchase_id")
-    return store.append("fact_sales", fresh, **SALES)
+    return store.append("fact_sales", fresh, **LAYOUT["fact_sales"])
 
 
-def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int) -> int:
+def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int, strict: bool) -> int:
+    snapshot = facts.fact_inventory(inventory, date_id)
+    if strict:
+        _hold_to_rules(store, "fact_inventory", snapshot)
     same_day = read_target(store, "fact_inventory").where(F.col("date_id") == date_id)
-    fresh = rows_to_insert(same_day, facts.fact_inventory(inventory, date_id), TARGETS["fact_inventory"].key)
-    return store.append("fact_inventory", fresh, **SNAPSHOTS)
+    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key)
+    return store.append("fact_inventory", fresh, **LAYOUT["fact_inventory"])
 
 
 def load_incremental(
@@ -187,6 +202,7 @@ def load_incremental(
     snapshot_date: dt.date | None = None,
     low: dt.datetime = DEFAULT_LOW,
     look_back: dt.timedelta = dt.timedelta(0),
+    strict: bool = False,
 ) -> dict[str, int]:
     """Load rows created in ``(mark, high]`` and move the mark to ``high`` once all is written.
 
@@ -197,6 +213,6 @@ def load_incremental(
     with staging(store.spark):
         delta["purchases"] = materialize(delta["purchases"], "delta")
         require_rows(delta["purchases"])
-        written = apply_delta(delta, tables, store, snapshot_date or high.date())
+        written = apply_delta(delta, tables, store, snapshot_date or high.date(), strict)
     save_mark(store, high)
     return written

@@ -5,6 +5,7 @@ from conftest import D, NEW, OLD, rows
 from pyspark.sql import functions as F
 
 from martloom.operators.audit import LimitReached, NoNewRecords, require_room
+from martloom.operators.quality import RuleViolation
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts, loads
 from martloom.schema import TARGETS
@@ -137,9 +138,27 @@ def test_empty_targets(spark):
     assert all(df.count() == 0 for df in loads.read_targets(store).values())
 
 
-def test_strict_full_load_reports_orphans(spark, toy):
-    with pytest.raises(Exception, match="dim_stores|fact_inventory"):
-        loads.load_full(toy, new_store(spark), DAY1, strict=True)
+def clean(toy):
+    """The toy source without the rows that break a rule of the targets."""
+    return {
+        **toy,
+        "stores": toy["stores"].where("id < 3"),
+        "inventory": toy["inventory"].where("item_id < 9"),
+    }
+
+
+def test_strict_loads(spark, toy):
+    store = new_store(spark)
+    with pytest.raises(RuleViolation, match="dim_stores not_null:state 3"):
+        loads.load_full({**toy, "inventory": toy["inventory"].where("item_id < 9")}, store, DAY1, strict=True)
+    assert not store.exists("fact_sales") and not store.exists("dim_time")  # nothing was written
+    loads.load_full(clean(toy), store, DAY1, high=MARK, strict=True)
+    orphan = toy["purchases"].withColumn("store_id", F.when(F.col("id") == 6, 77).otherwise(F.col("store_id")))
+    with pytest.raises(RuleViolation, match="fact_sales foreign_key:store_id->dim_stores 77"):
+        loads.load_incremental({**clean(toy), "purchases": orphan}, store, HIGH, DAY2, strict=True)
+    assert loads.last_mark(store) == MARK and loads.read_target(store, "fact_sales").count() == 3
+    loads.load_incremental(clean(toy), store, HIGH, DAY2, strict=True)
+    assert loads.read_target(store, "fact_sales").count() == 6
 
 
 def test_limit(spark):

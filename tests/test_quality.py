@@ -79,9 +79,9 @@ def test_split_and_enforce(spark, toy):
     assert rows(rejected, "item_id", "broken_rules") == [
         (9, ["foreign_key:item_id->items", "foreign_key:size_id->sizes"])
     ]
-    dq.enforce({"sizes": toy["sizes"]}, SOURCES)
+    dq.enforce(dq.check({"sizes": toy["sizes"]}, SOURCES))
     with pytest.raises(dq.RuleViolation, match="inventory"):
-        dq.enforce(toy, SOURCES)
+        dq.enforce(dq.check(toy, SOURCES))
 
 
 def test_catalog_domain(spark, toy):
