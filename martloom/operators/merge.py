@@ -46,24 +46,30 @@ def rows_to_insert(
     order_by: Sequence[str] = (),
     within: str | None = None,
     ranged: str | None = None,
+    small: bool = True,
 ) -> DataFrame:
     """Rows of ``source`` whose key ``target`` lacks; the first row of a repeated key wins.
 
     ``within`` names a partition column of the target that is a function of the
     key and counts years or days; ``ranged`` a key column the target's files are
     sorted by.  The few partition values and the range of the batch are looked up
-    first, so that other partitions and row groups are not read.  What is read is
-    cut to the batch's keys before the anti join, so that a batch under the
-    broadcast threshold moves no row of the target.
+    first, so that other partitions and row groups are not read.  For a ``small``
+    batch what is read is cut to the batch's keys before the anti join, so that
+    under the broadcast threshold no row of the target is moved; a batch of the
+    target's own size is compared with it directly.
     """
     keys = list(keys)
     fresh = first_per_key(source, keys, order_by)
     if within:
-        touched = [row[0] for row in source.select(within).distinct().collect()]  # one per year or day
-        target = target.where(F.col(within).isin(touched))
-    if ranged:
+        # one row: the years or days of the batch, and its key range
+        column = ranged or within
+        touched, *bounds = source.agg(F.collect_set(within), F.min(column), F.max(column)).first()
+        target = in_range(target.where(F.col(within).isin(touched)), column, bounds)
+    elif ranged:
         target = in_range(target, ranged, key_range(source, ranged))
-    present = target.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    present = target.select(*keys)
+    if small:
+        present = present.join(fresh.select(*keys), keys, "left_semi")
     return fresh.join(present, keys, "left_anti").select(*source.columns)
 
 

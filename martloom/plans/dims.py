@@ -48,7 +48,8 @@ def order_dates(purchases: DataFrame, snapshot_date: dt.date | None = None) -> D
     """Distinct order dates, with the snapshot date added when it is missing."""
     dates = purchases.select(F.col("order_date").alias("date"))
     if snapshot_date is not None:
-        dates = dates.unionByName(dates.sparkSession.range(1).select(F.lit(snapshot_date).alias("date")))
+        day = dates.sparkSession.sql("SELECT * FROM VALUES (:day) AS days(date)", args={"day": snapshot_date})
+        dates = dates.unionByName(day)
     return dates.distinct()
 
 

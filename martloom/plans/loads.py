@@ -191,7 +191,7 @@ def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int, strict:
     if strict:
         _hold_to_rules(store, "fact_inventory", snapshot)
     same_day = read_target(store, "fact_inventory").where(F.col("date_id") == date_id)
-    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key)
+    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key, small=False)
     return store.append("fact_inventory", fresh, **LAYOUT["fact_inventory"])
 
 

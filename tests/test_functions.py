@@ -101,3 +101,40 @@ def test_area_codes():
     missing = {"20", "25", "26", "29", "23"} - {"23"} | {"30", "39", "40", "50", "52", "56", "57", "58", "59", "60"}
     missing |= {"70", "72", "76", "78", "80", "90", "10"}
     assert valid == {f"{n}" for n in range(10, 100)} - missing
+
+
+def random_names(n=3000):
+    import random
+
+    rng = random.Random(3)
+    letters = "abcxyzABCXYZÁÉÍÓÚãõçÇñßİıKΣσς0189-_.'’"
+    blanks = " \t\n\r\x0b\x0c\x1c\x1f\x85     　"
+    words = ["da", "DE", "Dos", "das", "d", "dá"]
+    for _ in range(n):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            word = rng.choice(words) if rng.random() < 0.3 else "".join(rng.choices(letters, k=rng.randint(1, 6)))
+            parts += [word, "".join(rng.choices(blanks, k=rng.randint(1, 2)))]
+        yield "".join(rng.choices(blanks, k=rng.randint(0, 1)) + parts)
+
+
+def a_to_z(text):
+    return "".join(c for c in text.lower() if "a" <= c <= "z")
+
+
+def expected_customer_email(name):
+    words = [w for w in name.split() if w.lower() not in {"da", "de", "dos", "das"}]
+    if not words:
+        return None
+    return ".".join(a_to_z(w) for w in ([words[0], words[-1]] if len(words) > 1 else words)) + "@example.com"
+
+
+def expected_store_email(name):
+    kept = "".join(c if c.isascii() and c.isalnum() else " " for c in name.lower()).split()
+    return f"contato@{'_'.join(kept)}.com.br" if kept else None
+
+
+def test_emails_of_random_names(spark):
+    names = list(random_names())
+    assert apply(spark, names, tx.customer_email) == [expected_customer_email(n) for n in names]
+    assert apply(spark, names, tx.store_email) == [expected_store_email(n) for n in names]
