@@ -10,7 +10,18 @@ from martloom.operators import quality as dq
 from martloom.operators.audit import union_all
 from martloom.operators.stock import apply_decrements
 from martloom.plans import dims
-from martloom.schema import PHONE_PATTERN, REGIONS, SOURCES, STATE_REGIONS, STATUSES, TARGETS, ZIP_PATTERN
+from martloom.schema import (
+    PHONE_PATTERN,
+    REGIONS,
+    SOURCES,
+    STATE_REGIONS,
+    STATUSES,
+    TARGETS,
+    ZIP_PATTERN,
+    Domain,
+    Minimum,
+    Table,
+)
 from registry.base import Inputs, query
 from registry.tables import days_early, delta
 from registry.views import region_sql
@@ -337,3 +348,27 @@ def dq_split_rows(t: Inputs) -> DataFrame:
     return good.select("id", F.lit(True).alias("good"), F.lit("").alias("broken_rules")).unionByName(
         rejected.select("id", F.lit(False).alias("good"), F.array_join("broken_rules", ",").alias("broken_rules"))
     )
+
+
+def _all_rules_sql(table: Table) -> list[str]:
+    name, key = table.name, " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in table.key)
+    broken = [(f"not_null:{c.name}", c.name, f"{c.name} IS NULL") for c in table.columns if not c.nullable]
+    broken += [(f"max_length:{c.name}", c.name, f"length({c.name}) > {c.length}") for c in table.columns if c.length]
+    for check in table.checks:
+        c = check.column
+        if isinstance(check, Domain):
+            broken.append((f"domain:{c}", c, f"{c} NOT IN ({_listed(check.values)})"))
+        elif isinstance(check, Minimum):
+            broken.append((f"minimum:{c}", c, f"{c} {'<=' if check.strict else '<'} {check.bound}"))
+        else:
+            broken.append((f"pattern:{c}", c, f"NOT regexp_matches({c}, '{check.regex}')"))
+    parts = [_row_sql(name, rule, key, f"CAST({c} AS VARCHAR)", name, where) for rule, c, where in broken]
+    parts.append(
+        f"SELECT '{name}', 'primary_key', {key}, {key}, count(*) FROM {name} GROUP BY {', '.join(table.key)} HAVING count(*) > 1"
+    )
+    return parts + [_orphan_sql(name, r) for r in table.references]
+
+
+@query("dq_all_rules", "\nUNION ALL ".join(part for table in SOURCES.values() for part in _all_rules_sql(table)))
+def dq_all_rules(t: Inputs) -> DataFrame:
+    return dq.check(t.bundle(*SOURCES), SOURCES)
