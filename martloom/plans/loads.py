@@ -50,8 +50,8 @@ def read_targets(store: TableStore) -> dict[str, DataFrame]:
 
 def create_targets(store: TableStore) -> None:
     """Empty first versions with the declared schemas."""
-    for table in TARGETS:
-        store.replace(table, store.spark.createDataFrame([], stored_schema(table)))
+    empty = {table: store.spark.createDataFrame([], stored_schema(table)) for table in TARGETS}
+    _together({table: partial(store.replace, table, df) for table, df in empty.items()})
 
 
 def _together(jobs: Mapping[str, Callable[[], int]]) -> dict[str, int]:

@@ -19,13 +19,13 @@ from martloom.session import materialize, staging
 from martloom.sources.tables import created_between
 
 
-def _start(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def _start(
+    stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
+) -> StreamingQuery:
+    """Drain what is there and stop, or go on ``every`` interval, such as "1 hour"."""
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def stream_insert_ignore(
@@ -35,6 +35,7 @@ def stream_insert_ignore(
     keys: Sequence[str],
     mark: str,
     checkpoint: str,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Append rows whose key the table lacks, and keep the largest ``mark`` value loaded."""
     schema = stream.schema
@@ -49,7 +50,7 @@ def stream_insert_ignore(
         if known is None or high > known:
             save_mark(store, high)
 
-    return _start(stream, step, checkpoint)
+    return _start(stream, step, checkpoint, every)
 
 
 def stream_sales(
@@ -57,11 +58,13 @@ def stream_sales(
     tables: Mapping[str, DataFrame],
     root: str,
     checkpoint: str,
-    snapshot_date: dt.date,
+    snapshot_date: dt.date | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """The incremental star load, driven by a stream of purchases.
 
-    Dimension rows created since the stored mark come along with each batch.
+    Dimension rows created since the stored mark come along with each batch. Without
+    ``snapshot_date`` the stock is taken under the day the batch runs.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -76,10 +79,10 @@ def stream_sales(
             if low is not None:
                 high = max(low, high)
             delta = {n: created_between(tables[n], low, high) for n in SLICED_SOURCES if n in tables}
-            apply_delta({**delta, "purchases": batch}, tables, store, snapshot_date)
+            apply_delta({**delta, "purchases": batch}, tables, store, snapshot_date or dt.datetime.now(dt.UTC).date())
         save_mark(store, high)
 
-    return _start(purchases, step, checkpoint)
+    return _start(purchases, step, checkpoint, every)
 
 
 STOCK_BATCH = "applied_batch"
@@ -98,6 +101,7 @@ def stream_allocate(
     order_by: Sequence[str],
     checkpoint: str,
     max_group: int = MAX_GROUP,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Allocate a stream of order lines; the stock left is carried to the next batch.
 
@@ -121,7 +125,7 @@ def stream_allocate(
         left = apply_decrements(stock.drop(STOCK_BATCH), taken, keys)
         store.replace("stock", left.withColumn(STOCK_BATCH, F.lit(batch_id).cast("bigint")))
 
-    return _start(lines, step, checkpoint)
+    return _start(lines, step, checkpoint, every)
 
 
 def read_allocated(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

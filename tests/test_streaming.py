@@ -34,6 +34,21 @@ def test_sales_stream_equals_full_load(spark, toy):
     assert loads.last_mark(store) == dt.datetime(2025, 4, 23)
 
 
+def test_stream_may_go_on_at_an_interval(spark):
+    root, source = work_path(spark, "stream"), work_path(spark, "rows")
+    data = spark.range(10).select("id", F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz").alias("ts"))
+    data.write.parquet(source)
+    stream = read_files(spark, source, data.schema)
+    running = streams.stream_insert_ignore(stream, root, "t", ["id"], "ts", f"{root}/c", every="1 second")
+    try:
+        running.processAllAvailable()
+        data.withColumn("id", F.col("id") + 5).write.mode("append").parquet(source)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert TableStore(spark, root).read("t", data.schema).count() == 15
+
+
 def test_stream_insert_ignore_is_idempotent(spark):
     root, source = work_path(spark, "stream"), work_path(spark, "rows")
     data = spark.range(100).select("id", F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz").alias("ts"))
