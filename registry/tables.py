@@ -14,7 +14,8 @@ from martloom.plans import catalog as cat
 from martloom.plans import dims, facts, star
 from martloom.plans.registration import basket_lines
 from martloom.schema import SLICED_SOURCES, SOURCES, TARGETS
-from martloom.sources.tables import created_between, extract
+from martloom.session import work_path
+from martloom.sources.tables import created_between, extract, read_catalog_csv
 from registry.base import FIRST_SNAPSHOT, HIGH, LOW, SNAPSHOT, Inputs, query
 from registry.views import HIGH_SQL, LOW_SQL, SNAPSHOT_SQL
 
@@ -122,6 +123,17 @@ def src_delta_counts(t: Inputs) -> DataFrame:
     return audit_counts(_slice(t))
 
 
+@query(
+    "src_catalog_csv",
+    "SELECT nome_item, categoria, tamanhos_validos, row_number() OVER (ORDER BY position) - 1 AS position FROM catalog",
+)
+def src_catalog_csv(t: Inputs) -> DataFrame:
+    path = work_path(t.spark, "catalog-csv")
+    ordered = t.catalog.repartitionByRange("position").sortWithinPartitions("position").drop("position")
+    ordered.write.option("header", True).csv(path)
+    return read_catalog_csv(t.spark, path)
+
+
 # --- projections and filters --------------------------------------------------
 
 

@@ -175,3 +175,18 @@ def test_default_days_and_stamps(spark, toy):
     assert facts.date_id_of(loads.read_target(store, "dim_time"), today) == 5  # after the four order dates
     now = spark.range(1).select(_stamp(None).alias("s")).first()["s"]
     assert abs(now - dt.datetime.now(dt.UTC).replace(tzinfo=None)) < dt.timedelta(minutes=5)
+
+
+def test_increment_without_a_single_fact(spark, toy):
+    store = new_store(spark)
+    loads.load_full(toy, store, DAY1, high=MARK)
+    none = {**toy, "purchases_status": toy["purchases_status"].where("purchase_id < 4")}
+    written = loads.load_incremental(none, store, HIGH, DAY2)
+    assert written["fact_sales"] == 0 and written["dim_time"] == 3
+
+
+def test_increment_into_an_empty_store(spark, toy):
+    store = new_store(spark)
+    written = loads.load_incremental(toy, store, HIGH, DAY2, low=dt.datetime(2025, 1, 1))
+    assert written["fact_sales"] == 6 and written["dim_customers"] == 2
+    assert loads.read_target(store, "dim_time").count() == 5
