@@ -18,8 +18,10 @@ STOCK_KEYS = ["item_id", "size_id", "store_id"]
 
 
 def _stamp(created_at: Column | dt.datetime | None) -> Column:
-    """The load time of new rows: the one given, else now."""
-    return F.localtimestamp() if created_at is None else zoneless(created_at)
+    """The load time of new rows, in UTC: the one given, else now."""
+    if created_at is None:
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+    return zoneless(created_at)
 
 
 def basket_lines(orders: DataFrame) -> DataFrame:
