@@ -4,9 +4,9 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
-from registry import compare
+from registry import base, compare
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = base.QUERIES, base.ORACLE
 
 
 @pytest.fixture(scope="module")
