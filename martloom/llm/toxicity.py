@@ -215,14 +215,24 @@ def _calibrate(worst: np.ndarray, label: np.ndarray) -> np.ndarray:
 
 
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word of a text once, with the words on either side of its first place."""
     for batch in batches:
         for part, texts in pieces(batch):
-            words, label = [], []
+            words, left, right, label = [], [], [], []
             for text, y in zip(texts, part.column("label").to_pylist(), strict=True):
-                own = sorted(units(text))
-                words += own
-                label += [y] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(label, pa.int32())], names=["unit", "label"])
+                raw = ["", *text.lower().split(), ""]
+                first = {w: k for k, w in reversed(list(enumerate(raw)))}
+                for w in sorted(first):
+                    unit = w if w.isalpha() else _EDGE.sub("", w)
+                    if unit:
+                        words.append(unit)
+                        left.append(raw[first[w] - 1])
+                        right.append(raw[first[w] + 1])
+                        label.append(y)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), pa.array(left, pa.string()), pa.array(right, pa.string()), pa.array(label, pa.int32())],
+                names=["unit", "left", "right", "label"],
+            )
 
 
 def _worst_rows(model: Model):
@@ -242,9 +252,9 @@ def _worst_rows(model: Model):
 def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int = 192) -> Model | None:
     """Learn from ``labels`` (doc_id, toxic); null labels and ids are passed over.
 
-    Words are weighed by the documents of either label they stand in. Sure insults stand in more toxic documents than
-    chance allows and in no clean one; then words of toxic documents that the machine finds alike, and the
-    worst words of clean documents, join in two further rounds. None if a label has no document.
+    A word counts once for each different word beside it, so copies of one text don't add up. Sure insults stand in more places
+    of toxic documents than chance allows and in no clean document; then words of toxic documents that the machine finds alike, and the
+    worst words of clean documents, join in a second round. None if a label has no document.
     """
     small_batches(docs.sparkSession)
     marked = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("label")).distinct()
@@ -254,8 +264,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
     n_bad, n_all = (int(x or 0) for x in own.agg(F.sum("label"), F.count("*")).first())
     if not 0 < n_bad < n_all:
         return None
+    seen_by = lambda side: F.count_distinct(F.when(F.col("label") == 1, F.col(side)))
     counts = materialize(
-        own.mapInArrow(_unit_rows, "unit string, label int").groupBy("unit").agg(F.sum("label").alias("bad"), F.sum(F.expr("1 - label")).alias("good")), "units"
+        own.mapInArrow(_unit_rows, "unit string, left string, right string, label int")
+        .groupBy("unit")
+        .agg(F.least(seen_by("left"), seen_by("right")).alias("bad"), F.sum(F.expr("1 - label")).alias("good")),
+        "units",
     )
     words = counts.count()
     base = n_bad / n_all
@@ -266,15 +280,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
     if not len(sure):
         sure = only.orderBy(F.desc("bad"), "unit").limit(20).toPandas()
     bad = dict(zip(sure["unit"], np.sqrt(sure["bad"].astype(float)), strict=True))
-    doubt = only.where(F.col("bad") < chance).orderBy(F.desc("bad"), "unit").limit(20_000).toPandas()["unit"].tolist()
+    doubt = only.where(F.col("bad").between(2, chance - 1)).orderBy(F.desc("bad"), "unit").limit(20_000).toPandas()["unit"].tolist()
     usual = counts.where("good > 0").orderBy(F.desc("good"), "unit").limit(1000).toPandas()["unit"].tolist()
     others = counts.where("good > 0").orderBy(hashed, "unit").limit(6000).toPandas()["unit"].tolist()
     good = list(dict.fromkeys(others[:landmarks] + usual + others))
-    for turn in range(3):
+    for turn in range(2):
         table, bias = train_machine(good, bad, landmarks)
         model = Model(table, bias, np.zeros(3))
         seen = own.coalesce(8).mapInArrow(_worst_rows(model), "label int, unit string, m1 double, m2 double").toPandas()
-        if turn < 2:
+        if turn == 0:
             clean = sorted(set(seen.loc[(seen["label"] == 0) & (seen["m1"] > -0.8), "unit"]))
             found = margins(doubt, table, bias) if doubt else np.empty(0)
             near = [w for w, m in zip(doubt, found, strict=True) if m > 0.5][:1500]
