@@ -1,12 +1,12 @@
 """N-gram Jaccard join: documents whose sets of 5-word shingles are alike, by token-combination prefixes.
 
 A document's tokens are put into one order for all documents: rare tokens first, then frequent ones. If two sets
-overlap enough, one of the first tokens must be shared: of a set of n tokens the first n // 5 + 1 suffice at a
-similarity of 0.8. A frequent token alone would join too many documents, so frequent tokens are indexed as combinations of
-two neighbours in that order, and the prefix is made longer for it: each missing token breaks up to two
-combinations and each foreign one breaks one, at most 2n / 5 together, so 2n / 5 + 2 tokens (two fewer for each
-rare one) keep one combination whole. Candidates found so are ordered once more by exact frequency, filtered by
-length and position, and verified on whole sets.
+overlap enough, they share some of the first tokens: at a similarity of 0.8 a set of n tokens misses n // 5 of its own at most, so of
+its first n // 5 + k any partner has k. k is a twentieth of n: a passage in common doesn't make a candidate, as one
+shared token would. A frequent token alone would join too many documents, so frequent tokens are indexed as
+combinations of two neighbours in that order, and the prefix is made longer for it: each missing token breaks up to two
+combinations and each foreign one breaks one, at most 2n / 5 together, so 2n / 5 + k keys keep k whole.
+Candidates found so are ordered once more by exact frequency, filtered by length and position, and verified on whole sets.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from martloom.llm.components import components
 from martloom.llm.hashing import mix, shingles, word_hashes
 from martloom.session import materialize
 
-SHARE = 256  # a token of more than one document in so many is frequent
+OFTEN = 4  # a token in so many documents of a chunk may be frequent
 FREQUENT = 1 << 20  # most tokens that can be frequent: 8 MB in every worker
 CHUNK = 1 << 21  # tokens counted at a time while looking for frequent ones
 
@@ -43,7 +43,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def common() -> pa.RecordBatch:
         token, seen = np.unique(np.concatenate(held), return_counts=True)
-        many = seen >= max(4, len(held) // SHARE)
+        many = seen >= OFTEN
         none = pa.nulls(int(many.sum()), pa.int64())
         return pa.RecordBatch.from_arrays(
             [none, none, pa.nulls(int(many.sum()), pa.binary()), pa.array(token[many].view(np.int64)), pa.array(seen[many])], schema=schema
@@ -72,6 +72,11 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield common()
 
 
+def needed(n: int) -> int:
+    """Keys that a set of n tokens shares with any set that is like it."""
+    return n // 20 + 1
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Index keys of a set: single rare tokens, then neighbouring pairs of frequent ones.
 
@@ -84,10 +89,11 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     often = np.zeros(n, bool)
     inside = at < len(frequent)
     often[inside] = frequent[at[inside]] == tokens[inside]
-    rare = tokens[~often][: n // 5 + 1]
-    if len(rare) > n // 5:
-        return rare
-    rest = tokens[often][: 2 * n // 5 - 2 * len(rare) + 2]
+    single = n // 5 + needed(n)
+    rare = tokens[~often]
+    if len(rare) >= single:
+        return rare[:single]
+    rest = tokens[often][: 2 * n // 5 + needed(n) - len(rare) + 1]
     return np.concatenate([rare, mix(rest[:-1] * np.uint64(0xA24BAED4963EE407) + rest[1:] * np.uint64(0x9FB21C651E98DF25))])
 
 
@@ -96,7 +102,7 @@ def _index(frequent: np.ndarray):
         met: set[bytes] = set()  # copies within a task are indexed once
         for batch in batches:
             for part, texts in pieces(batch):
-                ids, keys = [], []
+                ids, least, keys = [], [], []
                 for doc_id, words in zip(part.column("doc_id").to_pylist(), word_hashes(texts), strict=True):
                     tokens = shingles(words)
                     mark = _digest(tokens)
@@ -105,9 +111,12 @@ def _index(frequent: np.ndarray):
                         found = signatures(tokens, frequent)
                         if len(found):
                             ids.append(doc_id)
+                            least.append(needed(len(tokens)))
                             keys.append(found.view(np.int64))
                 if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists(keys)], names=["doc_id", "keys"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int64()), pa.array(least, pa.int32()), lists(keys)], names=["doc_id", "least", "keys"]
+                    )
 
     return run
 
@@ -219,20 +228,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = materialize(docs.mapInArrow(_profile, _PROFILE), "profile")
     profile = seen.where("token is null").select("doc_id", "n", "digest")
-    total = profile.agg(F.count("*").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    least = max(total.docs // SHARE, total.tokens // FREQUENT, 1)  # leaves FREQUENT tokens at most
+    total = profile.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = max(total // FREQUENT, OFTEN - 1)  # leaves FREQUENT tokens at most
     often = seen.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") > least).select("token")
     frequent = np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
     known = docs.where("doc_id is not null")
-    keys = known.mapInArrow(_index(frequent), "doc_id long, keys array<long>").select("doc_id", F.explode("keys").alias("key"))
+    keys = known.mapInArrow(_index(frequent), "doc_id long, least int, keys array<long>").select("doc_id", "least", F.explode("keys").alias("key"))
     per_key = Window.partitionBy("key")
     meeting = (
         keys.withColumn("low", F.min("doc_id").over(per_key))
         .withColumn("high", F.max("doc_id").over(per_key))
         .where("low <> high")
+        .groupBy("doc_id")
+        .agg(F.count("*").alias("n"), F.min("least").alias("least"))
+        .where("n >= least")
         .select("doc_id")
-        .distinct()
     )
     classes = materialize(
         profile.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")), "classes"
