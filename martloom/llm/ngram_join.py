@@ -135,10 +135,12 @@ def _sets(wanted: np.ndarray):
 
 
 def _possible(x: str, y: str) -> F.Column:
-    """Length and position bounds of a pair of index entries; unique tokens of either can't be shared."""
+    """Length and position bounds of a pair of entries of one token, as if it were the first token they share.
+
+    A pair that is alike passes at its first shared token, so it may be dropped at any other.
+    """
     return F.expr(
-        f"5 * least({x}.n, {y}.n) >= 4 * greatest({x}.n, {y}.n) and "
-        f"9 * (least({x}.pos, {y}.pos) + least({x}.c - {x}.pos, {y}.c - {y}.pos)) >= 4 * ({x}.n + {y}.n)"
+        f"5 * least({x}.n, {y}.n) >= 4 * greatest({x}.n, {y}.n) and 9 * least({x}.c - {x}.pos, {y}.c - {y}.pos) >= 4 * ({x}.n + {y}.n)"
     )
 
 
