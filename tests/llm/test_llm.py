@@ -1,0 +1,504 @@
+"""Operators of the training-data subpackage: brute force, round trips, held-out accuracy, edge cases."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import re
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import corpus_pipeline
+from martloom.llm import decontaminate, licenses, mixing, ngram_join, pii, quality, queries, secret_scan, token_counts, topk, toxicity
+from martloom.llm.common import table
+from martloom.llm.components import components
+from martloom.llm.hashing import shingles, word_hashes
+
+LONG = "lorem ipsum dolor sit amet " * 40_000
+# null and repeated ids, null, empty and very long texts, repeated rows, columns named like those the operators make
+EDGE = [
+    (1, "one two three four five six seven", "a"),
+    (1, "one two three four five six seven", "a"),
+    (2, "ONE two three four five six seven", "b"),
+    (3, None, "b"),
+    (4, "", None),
+    (5, " \n\t", "c"),
+    (None, "no id here at all today", None),
+    (6, LONG, "a"),
+    (7, LONG + "tail", "a"),
+    (8, "two words", "c"),
+]
+SCHEMA = "doc_id long, text string, source string"
+CLASHING = ("n", "size", "key", "score", "label", "copies", "component_id", "token", "h", "target", "predicted", "text_", "digest")
+
+
+def documents(spark, rows, schema=SCHEMA):
+    df = spark.createDataFrame(rows, schema)
+    return df.select("*", *(F.lit(k).alias(c) for k, c in enumerate(CLASHING)))
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    return documents(spark, EDGE).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return documents(spark, [])
+
+
+def duck(sf_dir=SF_DIR):
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "labels", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def same_rows(df, con, sql):
+    got, want = df.toPandas(), con.execute(sql).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    columns = sorted(got.columns)
+    key = lambda x: sorted(map(repr, x[columns].astype(object).where(x[columns].notna(), None).itertuples(index=False, name=None)))
+    assert key(got) == key(want)
+
+
+def python_nodes(df):
+    return re.findall(r"\w*(?:Python|Pandas|Arrow)\w*", df._jdf.queryExecution().executedPlan().toString())
+
+
+# --- n-gram Jaccard join --------------------------------------------------------
+
+
+def brute_components(rows):
+    sets = {}
+    for doc_id, text, *_ in rows:
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+        sets[doc_id] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
+    label = {d: d for d in sets}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 80 * len(sets[a] | sets[b]):
+                    x, y = find(a), find(b)
+                    label[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in ids}
+
+
+def near_copies(rng, n_groups=12, per_group=14):
+    vocabulary = [f"w{k}" for k in range(400)]
+    passage = " ".join(rng.choices(vocabulary, k=70))
+    rows, doc_id = [], 0
+    for g in range(n_groups):
+        base = rng.choices(vocabulary, k=rng.choice([4, 5, 7, 9, 40, 120, 300]))
+        for _ in range(per_group):
+            words = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 5])):
+                at = rng.randrange(len(words))
+                words[at : at + rng.choice([0, 1, 1, 2])] = rng.choices(vocabulary, k=rng.choice([0, 1, 2]))
+                words = words or ["x"]
+            text = " ".join(words)
+            if rng.random() < 0.2:
+                text = f"{text}\n{passage}"
+            rows.append((doc_id, text.upper() if rng.random() < 0.1 else text, f"s{g}"))
+            doc_id += 1
+    return rows
+
+
+@pytest.mark.parametrize("seed,often", [(1, 4), (2, 2)])
+def test_near_duplicates_agree_with_brute_force(spark, monkeypatch, seed, often):
+    monkeypatch.setattr(ngram_join, "OFTEN", often)  # 2: nearly all shared tokens are indexed as pairs
+    rows = near_copies(random.Random(seed))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(documents(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_signatures_of_alike_sets_share_enough_keys():
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        n = int(rng.integers(4, 200))
+        x = np.unique(rng.integers(0, 2**63, n + 5).astype(np.uint64))[:n]
+        gone, new = int(rng.integers(0, n // 9 + 1)), int(rng.integers(0, n // 9 + 1))
+        y = np.unique(np.concatenate([rng.permutation(x)[gone:], rng.integers(0, 2**63, new).astype(np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if 180 * both < 80 * (len(x) + len(y)) or len(x) == len(y) == both:
+            continue
+        either = np.union1d(x, y)
+        frequent = np.sort(rng.permutation(either)[: int(rng.integers(0, len(either) + 1))])
+        shared = len(np.intersect1d(ngram_join.signatures(x, frequent), ngram_join.signatures(y, frequent)))
+        assert shared >= max(ngram_join.needed(len(x)), ngram_join.needed(len(y))) or shared >= min(ngram_join.needed(len(x)), ngram_join.needed(len(y)))
+        assert shared >= 1
+
+
+def test_near_duplicates_on_edge_cases(edge, empty):
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(edge).collect()}
+    assert {(1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (8, 1, 8), (None, 2, None)} <= got
+    assert {c for d, _, c in got if d in (6, 7)} == {6}
+    assert ngram_join.near_duplicates(empty).count() == 0
+    kept = sorted((r.doc_id is None, r.doc_id) for r in ngram_join.keep_one(edge).select("doc_id").collect())
+    assert [d for _, d in kept] == [1, 1, 3, 4, 5, 6, 8, None]
+
+
+def test_components_of_long_paths(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(0, 60)] + [(100, 101), (101, 107)], "a long, b long")
+    got = {r.node: r.label for r in components(links).collect()}
+    assert got == {**{k: 0 for k in range(61)}, 100: 100, 101: 100, 107: 100}
+
+
+def test_word_hashes_do_not_depend_on_place():
+    words = "alpha beta gamma Alpha é ÉÉ".split()
+    apart = [word_hashes([w])[0][0] for w in words]
+    assert word_hashes([" ".join(words)])[0].tolist() == apart
+    assert apart[0] == apart[3] and len(set(apart)) == 5
+    big = "x" * (3 << 20) + " tail"  # a word longer than a segment
+    assert word_hashes([big, "tail"])[0][1] == word_hashes(["tail"])[0][0]
+    assert len(shingles(word_hashes(["a b c d e f"])[0])) == 2 and len(shingles(word_hashes(["a b"])[0])) == 1
+
+
+# --- mixing -----------------------------------------------------------------------
+
+
+def test_mix_agrees_with_duckdb(spark):
+    same_rows(mixing.mix(table(spark, SF_DIR, "documents")), duck(), mixing.ORACLE)
+
+
+def test_mix_comes_near_its_targets(spark):
+    got = mixing.mix(table(spark, SF_DIR, "documents").withColumn("source", F.col("source"))).toPandas()
+    docs = pd.read_parquet(f"{SF_DIR}/documents.parquet")[["doc_id", "source"]]
+    by = got.merge(docs, on="doc_id").groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), largest=("size", "max"), size=("size", "sum"))
+    assert (by.target <= 2 * by["size"] + 1e-6).all() and by.target.sum() == pytest.approx(1.5 * by["size"].sum())
+    assert ((by.taken - by.target).abs() <= by.largest).all()
+    assert (got.taken <= 2 * got["size"]).all() and (got.taken % got["size"].clip(lower=1) == 0).all()
+
+
+def test_mix_on_edge_cases(edge, empty):
+    got = mixing.mix(edge).collect()
+    assert len(got) == len(EDGE) and all(0 <= r.taken <= 2 * r.size for r in got)
+    assert sorted(r.size for r in got if r.doc_id in (3, 4, 5)) == [0, 0, 0]
+    assert mixing.mix(empty).count() == 0
+    applied = mixing.apply_mix(edge)
+    assert applied.columns == [*edge.columns, "copies"] or "copies" in applied.columns
+    assert mixing.apply_mix(empty).count() == 0
+
+
+def test_applied_mix_takes_what_the_mix_says(spark):
+    docs = table(spark, SF_DIR, "documents")
+    want = {r.doc_id: r.taken // r.size for r in mixing.mix(docs).where("taken > 0").collect()}
+    assert {r.doc_id: r.copies for r in mixing.apply_mix(docs).select("doc_id", "copies").collect()} == want
+
+
+# --- top-k ------------------------------------------------------------------------
+
+
+def test_top_k_agrees_with_duckdb(spark):
+    same_rows(queries.op9_top_k(spark, SF_DIR), duck(), topk.ORACLE)
+
+
+def test_top_k_ties_nulls_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    rng = np.random.default_rng(3)
+    vectors = np.round(rng.normal(0, 1, (120, 5)), 1)
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(vectors)]
+    rows += [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0]), (202, [float("nan")] * 5), (203, [float("inf")] * 5), (None, [1.0] * 5), (250, []), (300, [0.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1)).withColumn("rank", F.lit(1))
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(frame, frame.where("vec_id % 10 = 0")).collect()}
+    good = {k: np.zeros(5, int) for k in (*range(120), 250, 300)}
+    for k, v in rows:
+        if k in good:
+            good[k][: len(v)] = np.floor(np.array(v) * 256)
+    want = {}
+    for q in (k for k in good if k % 10 == 0):
+        order = sorted((-int(good[q] @ v), k) for k, v in good.items() if k != q)[:5]
+        want |= {(q, n + 1): (k, -s) for n, (s, k) in enumerate(order)}
+    assert got == want
+    assert topk.top_k(frame.limit(0), frame.limit(0)).count() == 0
+    assert topk.top_k(frame.where("vec_id < 3"), frame.where("vec_id = 0")).count() == 2
+
+
+# --- toxicity and quality -----------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def insulted(spark):
+    rng = random.Random(8)
+    syllables = ["ka", "lo", "mi", "ten", "ru", "sha", "vor", "ple", "din", "os"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.choice([1, 2, 2, 3])))
+    bad = ["grumbletwit", "snotwick", "foulzog", "bligface"]
+    rows, labels = [], []
+    for k in range(900):
+        words = [word() for _ in range(rng.randint(20, 120))]
+        toxic = rng.random() < 0.25
+        for _ in range(rng.randint(1, 3) if toxic else 0):
+            w = rng.choice(bad)
+            words.insert(rng.randrange(len(words)), w + rng.choice(["", "", "en", "s"]))
+        rows.append((k, " ".join(words), "s"))
+        labels.append((k, int(toxic), 1))
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+
+
+def test_toxicity_on_held_out_rows_and_disguised_insults(spark, insulted):
+    docs, labels = insulted
+    got = toxicity.score_documents(docs, labels).join(labels, "doc_id").toPandas()
+    held = got[got.held_out]
+    assert 100 < len(held) < 260 and (held.predicted == held.toxic).mean() > 0.97
+    assert got.score.between(0, 1).all() and ((got.score >= 0.5) == (got.predicted == 1)).all()
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    seen = model.worst(["kalo s.n.o.t.w.i.c.k ru", "mi g r u m b l e t w i t lo", "ten fouulzog os", "kami loten vorple"], {})[:, 0]
+    assert (seen[:3] > 0).all() and seen[3] < 0
+
+
+def test_toxicity_on_edge_cases(spark, insulted, edge, empty):
+    docs, labels = insulted
+    model = toxicity.train(docs, labels)
+    assert edge.select(toxicity.toxic_score(model)(F.col("text")).alias("s")).where("s between 0 and 0.5").count() == len(EDGE)
+    assert toxicity.train(docs, labels.where("toxic = 0")) is None and toxicity.train(empty, labels) is None
+    none = toxicity.score_documents(edge, spark.createDataFrame([(None, None), (1, None)], "doc_id long, toxic int"))
+    assert none.count() == len(EDGE) and none.where("score <> 0 or predicted <> 0 or held_out is null").count() == 0
+    assert toxicity.drop_toxic(edge, labels.limit(0)).count() == len(EDGE)
+
+
+def test_kernel_vectors_have_unit_length():
+    for rows, _, weights in toxicity.features(["^idiot$", "^abab$", "aaa", "ab"]):
+        assert np.allclose(np.bincount(rows, weights**2)[np.unique(rows)], 1, atol=1e-5)
+
+
+def test_quality_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    got = quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels")).join(table(spark, sf, "labels"), "doc_id").toPandas()
+    held = got[got.held_out]
+    assert len(held) > 50 and (held.predicted == held.quality).mean() > 0.95
+    crc = __import__("zlib").crc32
+    assert all(h == (crc(str(d).encode()) % 3 == 1) for d, h in zip(got.doc_id, got.held_out, strict=True))
+
+
+def test_network_learns_and_reads_the_whole_text(spark, edge):
+    rng = random.Random(2)
+    clean = lambda: " ".join(rng.choices(["alder", "birch", "cedar", "elm", "fir"], k=rng.randint(5, 400))).encode()
+    junk = lambda: clean() + b" $$%% $$%% $$%% " + clean()
+    texts = [junk() if k % 2 else clean() for k in range(200)]
+    net = quality.fit(texts[:150], np.array([1 - k % 2 for k in range(150)], np.float32), epochs=8)
+    assert np.mean((net.forward(texts[150:])["p"] >= 0.5) == [k % 2 == 0 for k in range(150, 200)]) > 0.95
+    long = b"alder birch cedar " * 20_000
+    assert net.forward([long])["p"][0] > net.forward([long + b" $$%% $$%% $$%%" * 3])["p"][0]  # the very end counts
+    scores = edge.select(quality.quality_score(net)(F.col("text")).alias("s"))
+    assert scores.where("s between 0 and 1").count() == len(EDGE)
+    assert edge.select(quality.quality_score(None)(F.col("text")).alias("s")).where("s = 0.5").count() == len(EDGE)
+
+
+# --- decontamination ----------------------------------------------------------------
+
+ITEM = "A train leaves Paris at 9 and travels 120 km in 3 hours on a very old track while his friend Anna waits 3 hours at home; how fast is it going on average today"
+
+
+def test_leaks_of_copied_and_changed_items(spark, edge, empty):
+    changed = ITEM.replace("Paris", "Berlin").replace("120", "450").replace("3", "5").replace("Anna", "Otto")
+    torn = changed.replace("waits 5", "waits 7")  # one number of the item became two numbers
+    rows = [
+        (1, f"before it. {ITEM}. After it", "s"),
+        (2, changed, "s"),
+        (3, torn, "s"),
+        (4, "a train leaves the town and some people wait at home", "s"),
+        (None, ITEM, "s"),
+        (5, ITEM.upper(), "s"),
+    ]
+    bench = spark.createDataFrame([(7, ITEM), (8, "too short"), (9, None), (None, ITEM), (10, "")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.changed for r in decontaminate.leaks(documents(spark, rows), bench).collect()}
+    assert got[1, 7] == 0 and got[2, 7] == 4 and got[None, 7] == 0 and set(got) <= {(1, 7), (2, 7), (None, 7), (5, 7)}
+    kept = {r.doc_id for r in decontaminate.drop_leaks(documents(spark, rows), bench).collect()}
+    assert {3, 4} <= kept and not {1, 2, None} & kept
+    assert decontaminate.leaks(edge, bench).count() == 0 and decontaminate.leaks(empty, bench).count() == 0
+    assert decontaminate.drop_leaks(edge, bench.limit(0)).count() == len(EDGE)
+
+
+def test_planted_passages_are_found(spark):
+    docs = pd.read_parquet(f"{SF_DIR}/documents.parquet")
+    bench = pd.read_parquet(f"{SF_DIR}/benchmark.parquet")
+    want = {(d, i) for d, text in zip(docs.doc_id, docs.text, strict=True) for i, t in zip(bench.item_id, bench.text, strict=True) if t in text}
+    got = {(r.doc_id, r.item_id) for r in queries.op5_decontaminate(spark, SF_DIR).collect()}
+    assert want and want <= got and len(got - want) <= len(want) // 4
+
+
+# --- token counts -------------------------------------------------------------------
+
+
+def test_token_counts_agree_with_the_library(spark, edge, empty):
+    from tokenizers import Tokenizer
+
+    encoder = queries.encoder()
+    library = Tokenizer.from_str(encoder.content)
+    odd = ["a <|endoftext|>  b<|endoftext|>", "  \n\n x y   z", "don't DON'T 'sup we'll", "٣٤ ½ ² naïve 北京 🙂🙂", "�\x00\x07", "<|endoftext", "x" * 3000]
+    rows = [(k, t, "s") for k, t in enumerate(odd)]
+    docs = documents(spark, [r for r in EDGE if r[0] not in (6, 7)] + rows)
+    texts = [r.text or "" for r in docs.collect()] + pd.read_parquet(f"{SF_DIR}/documents.parquet").text.tolist()
+    got = [(r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.count_documents(docs, encoder).collect()]
+    got += [(r.n_bytes, r.n_tokens, r.over_limit) for r in queries.op6_token_counts(spark, SF_DIR).orderBy("doc_id").collect()]
+    want = [(len(t.encode()), len(e.ids)) for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True)]
+    assert sorted(got) == sorted((b, n, n > 1024) for b, n in want)
+    assert token_counts.count_documents(edge, encoder).count() == len(EDGE) and token_counts.count_documents(empty, encoder).count() == 0
+
+
+# --- personal data --------------------------------------------------------------------
+
+
+def test_feistel_is_a_permutation(spark):
+    pairs = spark.range(17 * 13).selectExpr("cast(id div 13 as long) l", "cast(id % 13 as long) r")
+    out = pairs.select(pii.feistel(F.col("l"), F.col("r"), F.lit(17), F.lit(13), "k", "t").alias("s")).select("s.*")
+    assert out.distinct().where("l between 0 and 16 and r between 0 and 12").count() == 17 * 13
+
+
+def luhn(digits):
+    total = sum(int(d) if k % 2 == 0 else sum(divmod(2 * int(d), 10)) for k, d in enumerate(reversed(digits)))
+    return total % 10 == 0
+
+
+def test_values_are_masked_in_their_format(spark):
+    values = {
+        "email": ("jane.doe7@mail.Example.com", pii.EMAIL),
+        "phone": ("+1 (203) 555-8282", pii.PHONE),
+        "ip": ("78.118.65.158", pii.IPV4),
+        "card": ("4111-1111-1111-1111", pii.CARD),
+        "ssn": ("665-45-6789", pii.SSN),
+        "date": ("1987-02-28", pii.DATE),
+    }
+    text = "\n".join(f"x {v}, y" for v, _ in values.values())
+    stay = "4111111111111112 999.1.1.1 2023-02-30 v1.2.3 000-12-3456 12345 a@b @x.com"
+    docs = documents(spark, [(1, text, "s"), (2, text + " tail", "s"), (3, stay, "s"), (4, "203-555-8282 and 1987-02-28", "s"), (5, None, "s")])
+    got = {r.doc_id: r for r in pii.mask_report(docs).collect()}
+    assert (got[1].n_values, got[3].n_values, got[3].text, got[5].text) == (6, 0, stay, None)
+    assert got[2].text == got[1].text + " tail"  # equal values stay linked
+    lines = got[1].text.split("\n")
+    for line, (old, shape) in zip(lines, values.values(), strict=True):
+        new = line[2:-3]
+        assert line.startswith("x ") and line.endswith(", y") and new != old
+        kind = pii.SSN if shape is pii.SSN else shape
+        assert re.fullmatch(kind.replace("*+", "*").replace("++", "+"), new)
+    assert luhn(re.sub("[^0-9]", "", lines[3])) and dt.date.fromisoformat(lines[5][2:-3]).year in range(1900, 2100)
+    digits = re.sub("[^0-9]", "", lines[1])
+    assert got[4].text == f"{digits[1:4]}-{digits[4:7]}-{digits[7:]} and {lines[5][2:-3]}"
+    again = {r.doc_id: r.text for r in pii.mask_report(docs, "another key").collect()}
+    assert again[1] != got[1].text
+
+
+def test_masking_keeps_rows_and_columns(edge, empty):
+    masked = pii.mask_documents(edge)
+    assert masked.columns == edge.columns and sorted(map(repr, masked.collect())) == sorted(map(repr, edge.collect()))
+    assert pii.mask_documents(empty).count() == 0 and not python_nodes(masked) and not python_nodes(pii.mask_report(edge))
+
+
+def test_dates_map_one_to_one(spark):
+    days = spark.range(3000).select(F.expr("cast(date_add(date'1899-12-30', cast(id * 25 as int)) as string)").alias("d"))
+    out = days.select("d", pii.pseudonym(F.col("d")).alias("p"))
+    inside = out.where("d >= '1900-01-01' and d < '2100-01-01'")
+    assert inside.select("p").distinct().count() == inside.count() and inside.where("d = p").count() < 5
+
+
+# --- licences -----------------------------------------------------------------------
+
+
+def brute_base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    places, labels = [], set()
+    for phrase, label in licenses.BASE:
+        parts = phrase.split()
+        at = [k for k in range(len(words) - len(parts) + 1) if words[k : k + len(parts)] == parts]
+        places += at
+        labels |= {label} if at else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_licenses_agree_with_brute_force(spark, edge, empty):
+    odd = ["MIT License and mit-license; Apache\nLicense, GNU General Public License, version 3", "permit license", "mit Kicense é license MIT  LICENSE", "general public general public license"]
+    docs = documents(spark, [(k, t, "s") for k, t in enumerate(odd)] + EDGE)
+    for frame in (docs, table(spark, SF_DIR, "documents")):
+        texts = sorted(brute_base(r.text) for r in frame.select("text").collect() if r.text is None or len(r.text) < 10**6)
+        got = licenses.scan(frame.where("text is null or length(text) < 1000000"))
+        key = lambda x: tuple(-1 if v is None else v for v in x)
+        assert sorted((key((r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)) for r in got.collect())) == sorted(map(key, texts))
+    assert licenses.scan(edge).count() == len(EDGE) and licenses.scan(empty).count() == 0 and not python_nodes(licenses.scan(edge))
+
+
+def test_templates_need_their_phrases_in_place(spark):
+    texts = {notice: label for label, notice, _ in licenses.TEMPLATES}
+    texts |= {"Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "Released under the GNU General Public License, version 3.": "gpl-3.0", "the license of apache is gnu": "", "version 3 of a general license": ""}
+    rows = [(k, f"Some words first, {t} and more behind", "s") for k, t in enumerate(texts)]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    for k, label in enumerate(texts.values()):
+        assert label in got[k].labels.split(",") and 0 <= got[k].score <= 1 and (got[k].score > 0) == (label != "")
+    assert "gpl-2.0" not in got[list(texts.values()).index("gpl-3.0")].labels
+
+
+# --- secrets ------------------------------------------------------------------------
+
+
+def test_forest_tells_secrets_from_other_candidates(spark, empty):
+    rng = random.Random(6)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    rows, truth = [], {}
+    for k in range(400):
+        kind = k % 4
+        value = {0: "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=15)) + "7", 1: hexes(39) + "1", 2: str(rng.randrange(10**15, 10**16)), 3: f"chapter-section{k}"}[kind]
+        around = {0: ("the account uses", "for uploads"), 1: ('token = "', '" end'), 2: ("order number", "was paid"), 3: ("see", "of the book")}[kind]
+        text = f"some plain prose about a chapter {around[0]} {value} {around[1]}" if kind != 1 else f"some prose {around[0]}{value}{around[1]}"
+        rows.append((k, text, "src/app.py" if kind < 2 else "docs/readme.md"))
+        truth[k] = kind < 2
+    docs = documents(spark, rows)
+    prose = spark.createDataFrame([("some plain prose about a chapter and a section of the book",)], "text string")
+    found = secret_scan.scan(docs, prose, path="source")
+    got = found.collect()
+    assert all(rows[r.doc_id][1][r.start : r.start + len(r.value)] == r.value for r in got)
+    assert np.mean([r.is_secret == truth[r.doc_id] for r in got]) > 0.97 and len({r.doc_id for r in got}) == 400
+    assert secret_scan.scan(empty, prose, path="source").count() == 0 and not python_nodes(found)
+
+
+def test_secrets_on_edge_cases(spark, edge):
+    prose = spark.createDataFrame([(None,), ("",)], "text string")
+    assert secret_scan.scan(edge, prose, path="source").count() == 0
+    one = documents(spark, [(None, "password=abc123def456ghi7", None), (None, "password=abc123def456ghi7", None)])
+    assert [(r.start, r.is_secret) for r in secret_scan.scan(one, prose, path="source").collect()] == [(9, True)] * 2
+
+
+# --- pipeline and registry ----------------------------------------------------------
+
+
+def test_pipeline_stage_by_stage(spark):
+    docs = table(spark, SF_DIR, "documents")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, SF_DIR)
+        docs = corpus_pipeline.materialize(docs, "test")
+        ids = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert ids <= {r.doc_id for r in before.select("doc_id").collect()} and ids
+        if name == "near duplicates":
+            want = {d for d, (_, c) in brute_components(before.select("doc_id", "text").collect()).items() if d == c}
+            assert ids == want
+        if name == "personal data":
+            assert docs.count() == before.count()
+        assert docs.columns == columns if name != "mixing" else docs.columns == [*columns, "copies"]
+
+
+def test_stages_take_empty_and_odd_documents(spark):
+    shape = T.StructType([*(T.StructField(c, t) for c, t in (("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()), ("n_chars", T.LongType())))])
+    for rows in ([], [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "a b c", None, None, None)]):
+        docs = spark.createDataFrame(rows, shape)
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, SF_DIR).count() <= len(rows)
+
+
+def test_every_operator_has_one_query():
+    names = sorted(queries.QUERIES)
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert set(queries.ORACLE) <= set(names)
