@@ -38,9 +38,14 @@ def require_rows(df: DataFrame) -> None:
         raise NoNewRecords("no purchase was created since the last load")
 
 
+def room_left(n_purchases, limit: int):
+    """How many more purchases may be registered; of a number or a column."""
+    return limit - n_purchases
+
+
 def require_room(purchases: DataFrame, limit: int) -> None:
     """Stop registering once ``limit`` purchases are stored."""
-    if not purchases.limit(limit).count() < limit:
+    if room_left(purchases.count(), limit) <= 0:
         raise LimitReached(f"{limit} purchases are already registered")
 
 

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from martloom.session import materialize
 
 MAX_GROUP = 50_000  # most lines folded as one group
-MAX_BROADCAST_KEYS = 200_000  # hot keys sent to all tasks; beyond it a shuffle join is used
 
 
 def check_stock(lines: DataFrame, inventory: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -171,12 +170,15 @@ def _allocate_hot(
     # Range partitions over (key, order) are pieces of one key's sequence; every run of
     # max_group rows in a piece is a chunk.  Written down, so that a chunk is the same
     # set of lines in every round, also after an executor is lost.
+    # Lines that agree in order_by follow each other by quantity and the other columns, as in the fold.
     mark = F.monotonically_increasing_id()
+    rest = [c for c in lines.columns if c not in (*keys, *order_by)]
+    total_order = [*keys, *order_by, F.col(quantity).cast("bigint"), *rest]
     piece = F.shiftright("_chunk", 33)
     place = F.col("_chunk") - F.shiftleft(piece, 33)
     chunked = materialize(
-        lines.repartitionByRange(*keys, *order_by)
-        .sortWithinPartitions(*keys, *order_by)
+        lines.repartitionByRange(*total_order)
+        .sortWithinPartitions(*total_order)
         .withColumn("_chunk", mark)
         .withColumn("_chunk", F.shiftleft(piece, 33) + F.floor(place / max_group)),
         "chunks",
@@ -198,21 +200,21 @@ def allocate(
 ) -> DataFrame:
     """``lines`` with ``accepted``: taken in ``order_by`` while the stock of their key lasts.
 
-    ``order_by`` must tell the lines of a key apart; ``stock`` has one row per key and
-    a missing row means no stock.  Quantities are positive; a null one is refused.
+    Lines of a key that agree in ``order_by`` are taken by quantity, then by their other
+    columns. ``stock`` has one row per key and a missing row means no stock.  A quantity
+    that is not positive fails the job; a null one is refused.
     """
     keys, order_by = list(keys), list(order_by)
+    q = F.col(quantity)
+    positive = F.when(q <= 0, F.raise_error(F.lit("a quantity is not positive"))).otherwise(q)
+    lines = materialize(lines.withColumn(quantity, positive.cast(lines.schema[quantity].dataType)), "lines")  # read two or three times
     opening = stock.select(*keys, F.col(held).cast("bigint").alias("_open"))
     sizes = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = materialize(sizes.where(F.col("_n") > max_group), "hot-keys")
-    n_hot = hot.count()
-    if not n_hot:
+    if hot.isEmpty():
         return _allocate_cold(lines, opening, keys, order_by, quantity)
 
-    # n_hot <= all lines / max_group, so this list stays small; should it not, it is shuffled
-    hot_keys = hot.select(*keys)
-    if n_hot <= MAX_BROADCAST_KEYS:
-        hot_keys = F.broadcast(hot_keys)
+    hot_keys = hot.select(*keys)  # stored, so its real size decides how it is joined
     same = reduce(and_, (lines[k].eqNullSafe(hot_keys[k]) for k in keys))  # a null key can be hot, too
     cold = _allocate_cold(lines.join(hot_keys, same, "left_anti"), opening, keys, order_by, quantity)
     hot_lines = lines.join(hot_keys, same, "left_semi")

@@ -45,8 +45,9 @@ def dim_stores(stores: DataFrame, stores_addresses: DataFrame, addresses: DataFr
 
 
 def order_dates(purchases: DataFrame, snapshot_date: dt.date | None = None) -> DataFrame:
-    """Distinct order dates, with the snapshot date added when it is missing."""
-    dates = purchases.select(F.col("order_date").alias("date"))
+    """Distinct order dates, with the snapshot date added when it is missing; a null order date fails the job."""
+    missing = F.raise_error(F.lit("a purchase has no valid order date")).cast("date")
+    dates = purchases.select(F.coalesce("order_date", missing).alias("date"))
     if snapshot_date is not None:
         day = dates.sparkSession.sql("SELECT * FROM VALUES (:day) AS days(date)", args={"day": snapshot_date})
         dates = dates.unionByName(day)

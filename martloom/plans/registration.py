@@ -47,7 +47,9 @@ def register_orders(
     line is. Also returned: the refused lines, the orders left empty, and the stock
     afterwards. ``limit`` caps the purchases already stored, as a guard before ingest.
     """
-    if limit is not None and purchases is not None:
+    if limit is not None:
+        if purchases is None:
+            raise ValueError("limit needs the purchases that are stored")
         require_room(purchases, limit)
     stamp = _stamp(created_at)
     lines = materialize(basket_lines(orders), "basket-lines")  # counted per stock key, then allocated

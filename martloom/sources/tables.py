@@ -33,10 +33,13 @@ class JdbcSplit:
     partitions: int
 
 
+FETCH_ROWS = 10_000  # rows a database reader asks for at a time
+
+
 def jdbc_options(
     url: str, table: str, properties: Mapping[str, str] | None = None, split: JdbcSplit | None = None
 ) -> dict[str, str]:
-    options = {"url": url, "dbtable": table, "preferTimestampNTZ": "true", **(properties or {})}
+    options = {"url": url, "dbtable": table, "preferTimestampNTZ": "true", "fetchsize": str(FETCH_ROWS), **(properties or {})}
     if split:
         options |= {
             "partitionColumn": split.column,
@@ -68,7 +71,8 @@ def write_jdbc(
 ) -> None:
     """Append over JDBC, ``batch_rows`` rows per statement."""
     options = {**jdbc_options(url, table, properties), "batchsize": str(batch_rows)}
-    options.pop("preferTimestampNTZ")
+    for reading in ("preferTimestampNTZ", "fetchsize"):
+        options.pop(reading)
     df.write.format("jdbc").options(**options).mode("append").save()
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +88,29 @@ def stream_sales(
     return _start(purchases, step, checkpoint, every)
 
 
-STOCK_BATCH = "applied_batch"
+def open_stock(store: TableStore, inventory: DataFrame) -> None:
+    """The stock before any batch; later movements are kept beside it."""
+    store.replace("stock", inventory)
 
 
-def open_stock(store: TableStore, inventory: DataFrame) -> None:
-    """First stock version, before any batch."""
-    store.replace("stock", inventory.withColumn(STOCK_BATCH, F.lit(-1).cast("bigint")))
+def _folders(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+    """What all batches of all runs wrote below ``root/table``, with ``run`` and ``batch``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    known = T.StructType([*schema, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], known)
+    return spark.read.schema(known).parquet(f"{root}/{table}")
+
+
+def _moved(spark: SparkSession, root: str, stock_schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    schema = T.StructType([*(stock_schema[k] for k in keys), T.StructField("quantity", T.LongType())])
+    return _folders(spark, root, "moved", schema)
+
+
+def stock_left(spark: SparkSession, root: str, stock_schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The opening stock less what the batches so far took."""
+    opening = TableStore(spark, root).read("stock", stock_schema)
+    return apply_decrements(opening, _moved(spark, root, stock_schema, keys), keys)
 
 
 def stream_allocate(
@@ -106,29 +126,38 @@ def stream_allocate(
     """Allocate a stream of order lines; the stock left is carried to the next batch.
 
     Stock is a stored table rather than per-key stream state, so that the lines of
-    a hot key are spread over tasks as in a batch. The stock version names the last
-    batch it contains and a batch writes its verdicts to a folder of its own: a
-    replayed batch either rewrites the same verdicts or is found to be done.
+    a hot key are spread over tasks as in a batch. It is never rewritten: each batch
+    writes its verdicts, and what it took of each key, to folders of its own, named by
+    checkpoint and batch, and sees the opening stock less all other batches' movements. A
+    replayed batch writes the same again. Under a new checkpoint, lines that an earlier one
+    judged are known by ``keys`` and ``order_by`` and passed over; all others are judged.
     """
-    stored = T.StructType([*stock_schema, T.StructField(STOCK_BATCH, T.LongType())])
+    keys, order_by = list(keys), list(order_by)
+    run = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    line_schema = T.StructType([lines.schema[c] for c in dict.fromkeys([*keys, *order_by])])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        store = TableStore(batch.sparkSession, root, keep=3)
-        stock = store.read("stock", stored)
-        if batch.isEmpty() or stock.agg(F.max(STOCK_BATCH)).first()[0] >= batch_id:
+        spark = batch.sparkSession
+        if batch.isEmpty():
             return
-        path = f"{root}/allocated/batch={batch_id}"
-        with staging(batch.sparkSession):
-            judged = allocate(batch, stock, keys, order_by, max_group=max_group)
-            judged.write.mode("overwrite").parquet(path)
-        taken = batch.sparkSession.read.schema(judged.schema).parquet(path).where("accepted")
-        left = apply_decrements(stock.drop(STOCK_BATCH), taken, keys)
-        store.replace("stock", left.withColumn(STOCK_BATCH, F.lit(batch_id).cast("bigint")))
+        own = f"run={run}/batch={batch_id}"
+        others = F.expr(f"not (run <=> '{run}' and batch <=> {batch_id})")
+        opening = TableStore(spark, root).read("stock", stock_schema)
+        with staging(spark):
+            moved = materialize(_moved(spark, root, stock_schema, keys).where(others).drop("run", "batch"), "moved")
+            known = _folders(spark, root, "allocated", line_schema).where(F.col("run") != run).select(*line_schema.names).distinct()
+            same = reduce(and_, (batch[c].eqNullSafe(known[c]) for c in line_schema.names))
+            judged = allocate(
+                batch.join(known, same, "left_anti"), apply_decrements(opening, moved, keys), keys, order_by, max_group=max_group
+            )
+            judged.write.mode("overwrite").parquet(f"{root}/allocated/{own}")
+        taken = spark.read.schema(judged.schema).parquet(f"{root}/allocated/{own}").where("accepted")
+        sums = taken.groupBy(*keys).agg(F.sum("quantity").cast("long").alias("quantity"))
+        sums.write.mode("overwrite").parquet(f"{root}/moved/{own}")
 
     return _start(lines, step, checkpoint, every)
 
 
 def read_allocated(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Verdicts of all batches so far."""
-    judged = T.StructType([*schema, T.StructField("accepted", T.BooleanType()), T.StructField("batch", T.LongType())])
-    return spark.read.schema(judged).parquet(f"{root}/allocated")
+    """Verdicts of all batches so far, with the run and batch that gave them."""
+    return _folders(spark, root, "allocated", T.StructType([*schema, T.StructField("accepted", T.BooleanType())]))

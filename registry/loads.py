@@ -465,3 +465,16 @@ def str_allocate_stock(t: Inputs) -> DataFrame:
     lines = demand_lines(t, testdata.raw_stream(t.spark, t.sf_dir, "lineitem"))
     streams.stream_allocate(lines, root, stock.schema, _KEYS, _ORDER, f"{root}/checkpoint").awaitTermination()
     return streams.read_allocated(t.spark, root, lines.schema).select(*_ORDER, "accepted")
+
+
+@query("str_allocate_restart", f"WITH RECURSIVE {_ALLOCATED} SELECT {', '.join(_ORDER)}, accepted FROM allocated")
+def str_allocate_restart(t: Inputs) -> DataFrame:
+    """The first half of the orders under one checkpoint, then all lines under another."""
+    root = work_path(t.spark, "stream-restart")
+    stock = t.inventory.select(*_KEYS, "quantity")
+    streams.open_stock(TableStore(t.spark, root), stock)
+    middle = t.raw("orders").agg(F.expr("(min(o_orderkey) + max(o_orderkey)) div 2")).first()[0]
+    for part, checkpoint in ((f"l_orderkey <= {middle}", "first"), ("true", "second")):
+        lines = demand_lines(t, testdata.raw_stream(t.spark, t.sf_dir, "lineitem")).where(part)
+        streams.stream_allocate(lines, root, stock.schema, _KEYS, _ORDER, f"{root}/{checkpoint}").awaitTermination()
+    return streams.read_allocated(t.spark, root, lines.schema).select(*_ORDER, "accepted")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.operators.audit import audit_counts, created_after, first_n, sample_rows, union_all
+from martloom.operators.audit import audit_counts, created_after, first_n, room_left, sample_rows, union_all
 from martloom.operators.keys import dense_ids, pair_by_position
 from martloom.operators.merge import difference
 from martloom.plans import catalog as cat
@@ -297,7 +297,7 @@ def agg_counts(t: Inputs) -> DataFrame:
     return counted.agg(
         n["purchases"].alias("n_purchases"),
         n["customers"].alias("n_customers"),
-        (n["purchases"] >= 500).alias("limit_reached"),
+        (room_left(n["purchases"], 500) <= 0).alias("limit_reached"),
     )
 
 

@@ -192,3 +192,14 @@ def test_increment_into_an_empty_store(spark, toy):
     written = loads.load_incremental(toy, store, HIGH, DAY2, low=dt.datetime(2025, 1, 1))
     assert written["fact_sales"] == 6 and written["dim_customers"] == 2
     assert loads.read_target(store, "dim_time").count() == 5
+
+
+def test_null_order_date_fails_full_and_incremental_loads(spark, toy):
+    broken = {**toy, "purchases": toy["purchases"].withColumn("order_date", F.when(F.col("id") != 4, F.col("order_date")))}
+    store = TableStore(spark, work_path(spark, "null-date"))
+    with pytest.raises(Exception, match="no valid order date"):
+        loads.load_full(broken, store, D(2025, 4, 24))
+    store = TableStore(spark, work_path(spark, "null-date"))
+    loads.load_full(toy, store, D(2025, 4, 24), high=OLD)
+    with pytest.raises(Exception, match="no valid order date"):
+        loads.load_incremental(broken, store, high=dt.datetime(2025, 4, 24))

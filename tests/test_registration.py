@@ -105,3 +105,8 @@ def test_jdbc_options():
     assert options["dbtable"] == "purchases" and options["user"] == "u" and options["preferTimestampNTZ"] == "true"
     assert [options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["id", "1", "1000", "8"]
     assert "partitionColumn" not in jdbc_options("jdbc:x", "sizes")
+
+
+def test_limit_needs_the_stored_purchases(spark):
+    with pytest.raises(ValueError, match="limit"):
+        register_orders(spark.range(0), spark.range(0), limit=3)

@@ -85,3 +85,18 @@ def test_hot_key_is_cut_into_bounded_groups(spark):
     want = brute_force([(0, i, i % 5 + 1) for i in range(0, n, 3)], {0: 20_000})
     assert got == {seq: ok for (_, seq), ok in want.items()}
     assert judged.count() == n
+
+
+def test_ties_are_taken_in_one_order_at_any_group_size(spark):
+    rng = random.Random(11)
+    lines = [(rng.choice([1, 1, 2]), rng.randint(1, 60), rng.randint(1, 9), f"t{i}") for i in range(800)]
+    frame = spark.createDataFrame(lines, "k long, seq long, quantity int, tag string")
+    held = spark.createDataFrame([(1, 1500), (2, 400)], "k long, quantity long")
+    small, large = (rows(allocate(frame, held, ["k"], ["seq"], max_group=m)) for m in (30, 10_000))
+    assert small == large
+
+
+def test_quantities_must_be_positive(spark):
+    for bad in (0, -30):
+        with pytest.raises(Exception, match="not positive"):
+            run(spark, [(1, 1, bad), (1, 2, 20)], {1: 35}, 100)

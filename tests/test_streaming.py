@@ -79,7 +79,7 @@ def test_allocation_carries_stock_between_batches(spark):
     judged = streams.read_allocated(spark, root, lines.schema)
     want = allocate(lines, stock, ["k"], ["seq"])
     assert rows(judged, "k", "seq", "accepted") == rows(want, "k", "seq", "accepted")
-    left = store.read("stock", stock.schema)
+    left = streams.stock_left(spark, root, stock.schema, ["k"])
     taken = want.where("accepted").groupBy("k").agg(F.sum("quantity").alias("t"))
     assert rows(left) == rows(stock.join(taken, "k").select("k", F.col("quantity") - F.col("t")))
 
@@ -94,4 +94,22 @@ def test_replayed_batch_is_not_taken_twice(spark):
     for attempt in range(2):  # the second query starts again at batch 0
         stream = read_files(spark, source, lines.schema)
         streams.stream_allocate(stream, root, stock.schema, ["k"], ["seq"], f"{root}/c{attempt}").awaitTermination()
-    assert rows(store.read("stock", stock.schema)) == [(1, 7)]
+    assert rows(streams.stock_left(spark, root, stock.schema, ["k"])) == [(1, 7)]
+    assert streams.read_allocated(spark, root, lines.schema).count() == 1
+    # a line that no earlier checkpoint saw is judged, though its batch number was used before
+    spark.createDataFrame([(1, 2, 6), (1, 3, 4)], lines.schema).write.mode("append").parquet(source)
+    stream = read_files(spark, source, lines.schema)
+    streams.stream_allocate(stream, root, stock.schema, ["k"], ["seq"], f"{root}/c2").awaitTermination()
+    assert rows(streams.read_allocated(spark, root, lines.schema), "seq", "accepted") == [(1, True), (2, True), (3, False)]
+    assert rows(streams.stock_left(spark, root, stock.schema, ["k"])) == [(1, 1)]
+
+
+def test_allocation_from_an_empty_stock(spark):
+    root, source = work_path(spark, "stream"), work_path(spark, "lines")
+    lines = spark.createDataFrame([(1, 1, 5)], "k long, seq long, quantity int")
+    lines.write.parquet(source)
+    stock = spark.createDataFrame([], "k long, quantity long")
+    streams.open_stock(TableStore(spark, root), stock)
+    stream = read_files(spark, source, lines.schema)
+    streams.stream_allocate(stream, root, stock.schema, ["k"], ["seq"], f"{root}/c").awaitTermination()
+    assert rows(streams.read_allocated(spark, root, lines.schema), "seq", "accepted") == [(1, False)]
