@@ -124,6 +124,17 @@ def load_full(
     return written
 
 
+def touched_purchases(
+    delta: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], high: dt.datetime
+) -> DataFrame:
+    """Purchases of the slice, and older ones of which a line or the status arrived only now."""
+    own = delta["purchases"]
+    arrived = delta["purchases_items"].select("purchase_id").union(delta["purchases_status"].select("purchase_id"))
+    late = arrived.distinct().join(own.select(F.col("id").alias("purchase_id")), "purchase_id", "left_anti")
+    older = created_between(tables["purchases"], None, high)
+    return own.unionByName(older.join(late.withColumnRenamed("purchase_id", "id"), "id", "left_semi").select(*own.columns))
+
+
 def apply_delta(
     delta: Mapping[str, DataFrame],
     tables: Mapping[str, DataFrame],
@@ -133,6 +144,8 @@ def apply_delta(
 ) -> dict[str, int]:
     """Bring a slice into the targets. The slice drives; lookups are read in full.
 
+    Also returned: ``dropped_…``, how many of the purchases' lines had no date, status or price and
+    wait for it; they are looked at again when it arrives in a slice of its own.
     Dimensions are upserted, new dates and new facts appended. Every step skips
     keys already there, so a slice that failed half-way or overlaps is simply run again.
     Pass purchases as a stored frame: it is read several times, and its real size
@@ -153,7 +166,15 @@ def apply_delta(
             "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id, strict),
         }
     )
-    return written
+    return written | _dropped(purchases, tables, days)
+
+
+def _dropped(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame) -> dict[str, int]:
+    bounds = key_range(purchases, "id")
+    lines, status = (in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status"))
+    own = lines.join(purchases.select(F.col("id").alias("purchase_id")), "purchase_id", "left_semi")
+    gone = facts.dropped_lines(purchases, status, own, tables["prices"], days).drop("no_purchase").first()
+    return {f"dropped_{reason}": n for reason, n in gone.asDict().items()}
 
 
 def _hold_to_rules(store: TableStore, name: str, batch: DataFrame) -> None:
@@ -213,6 +234,7 @@ def load_incremental(
     with staging(store.spark):
         delta["purchases"] = materialize(delta["purchases"], "delta")
         require_rows(delta["purchases"])
+        delta["purchases"] = materialize(touched_purchases(delta, tables, high), "touched")
         written = apply_delta(delta, tables, store, snapshot_date or high.date(), strict)
     save_mark(store, high)
     return written

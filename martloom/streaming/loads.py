@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from martloom.operators.merge import rows_to_insert
 from martloom.operators.stock import MAX_GROUP, allocate, apply_decrements
 from martloom.operators.store import TableStore
-from martloom.plans.loads import apply_delta, create_targets, last_mark, save_mark
+from martloom.plans.loads import apply_delta, create_targets, last_mark, save_mark, touched_purchases
 from martloom.schema import SLICED_SOURCES
 from martloom.session import materialize, staging
 from martloom.sources.tables import created_between
@@ -82,7 +82,10 @@ def stream_sales(
             if low is not None:
                 high = max(low, high)
             delta = {n: created_between(tables[n], low, high) for n in SLICED_SOURCES if n in tables}
-            apply_delta({**delta, "purchases": batch}, tables, store, snapshot_date or dt.datetime.now(dt.UTC).date())
+            delta["purchases"] = batch
+            if low is not None:  # nothing older is loaded before the first mark
+                delta["purchases"] = materialize(touched_purchases(delta, tables, high), "touched")
+            apply_delta(delta, tables, store, snapshot_date or dt.datetime.now(dt.UTC).date())
         save_mark(store, high)
 
     return _start(purchases, step, checkpoint, every)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.calendar import zoneless
 from martloom.operators.audit import audit_counts
 from martloom.operators.keys import dense_ids
 from martloom.operators.merge import insert_ignore, upsert
@@ -150,6 +151,19 @@ def inc_load_sales(t: Inputs) -> DataFrame:
     return loads.read_target(store, "fact_sales")
 
 
+@query("inc_late_status", "SELECT * FROM sales_early UNION ALL SELECT * FROM sales_delta")
+def inc_late_status(t: Inputs) -> DataFrame:
+    """Every seventh purchase of the first load gets its status one slice later."""
+    store = TableStore(t.spark, work_path(t.spark, "inc-late-status"))
+    tables = t.bundle(*SLICED_SOURCES)
+    status = tables["purchases_status"]
+    late = (F.col("purchase_id") % 7 == 0) & (F.col("created_at") <= zoneless(LOW))
+    loads.load_full({**tables, "purchases_status": status.where(~late)}, store, FIRST_SNAPSHOT, high=LOW)
+    moved = F.when(late, zoneless(LOW + dt.timedelta(days=1))).otherwise(F.col("created_at"))
+    loads.load_incremental({**tables, "purchases_status": status.withColumn("created_at", moved)}, store, HIGH, SNAPSHOT)
+    return loads.read_target(store, "fact_sales")
+
+
 _RELOADED = {n: n for n in ("dim_customers", "dim_items", "dim_sizes", "dim_stores")} | {
     "dim_time": "dim_time_loaded",
     "fact_sales": "(SELECT * FROM sales_early UNION ALL SELECT * FROM sales_delta)",

@@ -203,3 +203,18 @@ def test_null_order_date_fails_full_and_incremental_loads(spark, toy):
     loads.load_full(toy, store, D(2025, 4, 24), high=OLD)
     with pytest.raises(Exception, match="no valid order date"):
         loads.load_incremental(broken, store, high=dt.datetime(2025, 4, 24))
+
+
+def test_late_line_and_status_reach_the_fact(spark, toy):
+    # purchase 3 has no status at first, purchase 1 gets a further line later
+    parts, whole = (TableStore(spark, work_path(spark, name)) for name in ("late-parts", "late-whole"))
+    status = toy["purchases_status"].unionByName(spark.createDataFrame([(3, "Sent", NEW)], toy["purchases_status"].schema))
+    lines = toy["purchases_items"].withColumn("created_at", F.when(F.expr("purchase_id = 1 and item_id = 2"), F.lit(NEW).cast("timestamp_ntz")).otherwise(F.col("created_at")))
+    later = {**toy, "purchases_status": status, "purchases_items": lines}
+    first = {**later, "purchases_status": status.where(F.col("created_at") <= F.lit(OLD).cast("timestamp_ntz")), "purchases_items": lines.where(F.col("created_at") <= F.lit(OLD).cast("timestamp_ntz"))}
+    loads.load_full(first, parts, D(2025, 4, 24), high=OLD)
+    written = loads.load_incremental(later, parts, high=NEW, snapshot_date=D(2025, 4, 24))
+    loads.load_full(later, whole, D(2025, 4, 24))
+    dated = lambda s: loads.read_target(s, "fact_sales").join(loads.read_target(s, "dim_time").select("date_id", "date"), "date_id").drop("date_id")
+    assert rows(dated(parts)) == rows(dated(whole))
+    assert {k: v for k, v in written.items() if k.startswith("dropped_")} == {"dropped_no_date": 0, "dropped_no_status": 0, "dropped_no_price": 0}
