@@ -57,29 +57,34 @@ def order_key() -> Column:
     return F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
 
 
+def queue_name(source: Column) -> Column:
+    """The source as a key that is never null, so that equal keys stay in one partition from step to step."""
+    return F.coalesce(F.concat(F.lit("+"), source.cast("string")), F.lit("-"))
+
+
 def queued(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents with size, key, target and words of their queue up to them, sizes and targets by source)."""
     sized = materialize(
         docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size")
+            F.col("doc_id").cast("long").alias("doc_id"), queue_name(F.col("source")).alias("queue"), words(F.col("text")).alias("size")
         ).withColumn("key", order_key()),
         "sized",
     ).withColumn("slot", F.substring("key", 1, 3))
-    slots = materialize(sized.groupBy("source", "slot").agg(F.sum("size").alias("n")), "slots")
-    goal = materialize(targets(slots.groupBy("source").agg(F.sum("n").alias("source_size"))), "targets")
-    ahead = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = materialize(sized.groupBy("queue", "slot").agg(F.sum("size").alias("n")), "slots")
+    source = F.expr("case when queue <> '-' then substring(queue, 2) end").alias("source")
+    sizes = slots.groupBy("queue").agg(F.sum("n").alias("source_size")).select(source, "source_size")
+    goal = materialize(targets(sizes).withColumn("queue", queue_name(F.col("source"))), "targets")
+    ahead = Window.partitionBy("queue").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         slots.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-        .alias("s")
-        .join(goal.alias("g"), F.expr("s.source <=> g.source"))
-        .selectExpr("s.source", "s.slot", "s.ahead", "g.source_size", "g.target")
+        .join(goal.drop("source"), "queue")
+        .select("queue", "slot", "ahead", "source_size", "target")
     )
-    within = Window.partitionBy("source", "slot").orderBy("key", "size", "doc_id")  # rows that are alike count together
+    within = Window.partitionBy("queue", "slot").orderBy("key", "size", "doc_id")  # rows that are alike count together
     placed = (
         sized.withColumn("run", F.sum("size").over(within))
-        .alias("d")
-        .join(carried.alias("c"), F.expr("d.source <=> c.source and d.slot <=> c.slot"))
-        .select("d.doc_id", "d.source", "d.size", "d.key", "c.source_size", "c.target", (F.col("c.ahead") + F.col("d.run")).alias("upto"))
+        .join(carried, ["queue", "slot"])
+        .select("doc_id", "queue", "size", "key", "source_size", "target", (F.col("ahead") + F.col("run")).alias("upto"))
     )
     return materialize(placed, "placed"), goal
 
@@ -93,7 +98,7 @@ def finish(turn: int) -> Column:
 
 
 def taken_times(docs: DataFrame) -> DataFrame:
-    """Every row with doc_id, source, key, size, source_size, target and whether each of its turns is taken (``turns``)."""
+    """Every row with doc_id, queue, key, size, source_size, target and whether each of its turns is taken (``turns``)."""
     placed, goal = queued(docs)
     budget = float(goal.agg(F.coalesce(F.sum("source_size"), F.lit(0)) * F.lit(FILL)).first()[0])
     turns = F.explode(F.array(*(F.struct(finish(t).alias("at"), F.lit(t).alias("turn")) for t in range(1, TIMES + 1)))).alias("t")
@@ -124,7 +129,7 @@ def taken_times(docs: DataFrame) -> DataFrame:
         edge = F.struct(*(F.lit(last[c]).cast(kind).alias(c) for c, kind in zip(ORDER, ("double", "string", "long", "long"), strict=True)))
         return (F.col("size") > 0) & F.coalesce(F.struct(finish(turn).alias("at"), "key", "size", "doc_id") <= edge, F.lit(False))
 
-    return placed.select("doc_id", "source", "key", "size", "source_size", "target", F.array(*map(taken, range(1, TIMES + 1))).alias("turns"))
+    return placed.select("doc_id", "queue", "key", "size", "source_size", "target", F.array(*map(taken, range(1, TIMES + 1))).alias("turns"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -146,10 +151,10 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     """
     place = F.struct("key", "size", "doc_id")
     ends = [F.max(F.when(F.col("turns")[t], place)).alias(f"end{t}") for t in range(TIMES)]
-    ends = materialize(taken_times(docs).where("size > 0").groupBy(F.col("source").alias("_queue")).agg(*ends), "ends")
+    ends = materialize(taken_times(docs).where("size > 0").groupBy(F.col("queue").alias("_queue")).agg(*ends), "ends")
     own = F.struct(order_key().alias("key"), words(F.col("text")).alias("size"), F.col("doc_id").cast("long").alias("doc_id"))
     copies = sum((F.when(own <= F.col(f"end{t}"), 1).otherwise(0) for t in range(TIMES)), F.lit(0))
-    joined = docs.join(ends, docs["source"].cast("string").eqNullSafe(F.col("_queue")))
+    joined = docs.join(ends, queue_name(docs["source"]) == F.col("_queue"))
     return joined.where(words(F.col("text")) > 0).withColumn("copies", copies).where("copies > 0").select(*docs.columns, "copies")
 
 
