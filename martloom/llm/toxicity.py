@@ -254,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
 
     A word counts once for each different word beside it, so copies of one text don't add up. Sure insults stand in more places
     of toxic documents than chance allows and in no clean document; then words of toxic documents that the machine finds alike, and the
-    worst words of clean documents, join in a second round. None if a label has no document.
+    worst words of clean documents, join in two further rounds. None if a label has no document.
     """
     small_batches(docs.sparkSession)
     marked = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("label")).distinct()
@@ -284,11 +284,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
     usual = counts.where("good > 0").orderBy(F.desc("good"), "unit").limit(1000).toPandas()["unit"].tolist()
     others = counts.where("good > 0").orderBy(hashed, "unit").limit(6000).toPandas()["unit"].tolist()
     good = list(dict.fromkeys(others[:landmarks] + usual + others))
-    for turn in range(2):
+    for turn in range(3):
         table, bias = train_machine(good, bad, landmarks)
         model = Model(table, bias, np.zeros(3))
         seen = own.coalesce(8).mapInArrow(_worst_rows(model), "label int, unit string, m1 double, m2 double").toPandas()
-        if turn == 0:
+        if turn < 2:
             clean = sorted(set(seen.loc[(seen["label"] == 0) & (seen["m1"] > -0.8), "unit"]))
             found = margins(doubt, table, bias) if doubt else np.empty(0)
             near = [w for w, m in zip(doubt, found, strict=True) if m > 0.5][:1500]
