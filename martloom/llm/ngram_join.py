@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import bit_filter, lists, passes, pieces, small_batches
@@ -165,11 +165,10 @@ def links(sets: DataFrame) -> DataFrame:
     fewest tokens of its own. Then pairs that are still in different components are compared, all that pass the
     bounds; pairs inside a component can't change it and aren't made.
     """
-    per_token = Window.partitionBy("token")
+    tokens = sets.select("doc_id", F.explode("tokens").alias("token"))
+    spread = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")  # counted before the shuffle; the join splits hot tokens
     own = (
-        sets.select("doc_id", F.explode("tokens").alias("token"))
-        .withColumn("df", F.count("*").over(per_token))
-        .where("df > 1")
+        tokens.join(spread, "token")
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     )
@@ -236,12 +235,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     frequent = np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
     known = docs.where("doc_id is not null")
-    keys = known.mapInArrow(_index(frequent), "doc_id long, least int, keys array<long>").select("doc_id", "least", F.explode("keys").alias("key"))
-    per_key = Window.partitionBy("key")
+    index = materialize(known.mapInArrow(_index(frequent), "doc_id long, least int, keys array<long>"), "index")
+    keys = index.select("doc_id", "least", F.explode("keys").alias("key"))
+    common = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
     meeting = (
-        keys.withColumn("low", F.min("doc_id").over(per_key))
-        .withColumn("high", F.max("doc_id").over(per_key))
-        .where("low <> high")
+        keys.join(common, "key")
         .groupBy("doc_id")
         .agg(F.count("*").alias("n"), F.min("least").alias("least"))
         .where("n >= least")
