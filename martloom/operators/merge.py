@@ -47,6 +47,7 @@ def rows_to_insert(
     within: str | None = None,
     ranged: str | None = None,
     small: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows of ``source`` whose key ``target`` lacks; the first row of a repeated key wins.
 
@@ -56,10 +57,11 @@ def rows_to_insert(
     first, so that other partitions and row groups are not read.  For a ``small``
     batch what is read is cut to the batch's keys before the anti join, so that
     under the broadcast threshold no row of the target is moved; a batch of the
-    target's own size is compared with it directly.
+    target's own size is compared with it directly.  A ``unique`` batch holds every
+    key once already and is not grouped.
     """
     keys = list(keys)
-    fresh = first_per_key(source, keys, order_by)
+    fresh = source if unique else first_per_key(source, keys, order_by)
     if within:
         # one row: the years or days of the batch, and its key range
         column = ranged or within

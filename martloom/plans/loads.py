@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
-from martloom.operators.merge import in_range, key_range, rows_to_insert, upsert
+from martloom.operators.merge import first_per_key, in_range, key_range, rows_to_insert, upsert
 from martloom.operators.quality import check, enforce, violations
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
@@ -198,12 +198,14 @@ def _add_sales(
     # lines and status of other purchases are kept out by the range of ids, exactly and by file statistics
     bounds = key_range(purchases, "id")
     owned = {n: in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status")}
-    # the batch is looked at several times (its years, its keys, its rows): join it once
-    sales = materialize(_sales(purchases, {**tables, **owned}, days, True), "sales-batch")
+    # the batch is looked at several times (its years, its keys, its rows): join and group it once
+    key = TARGETS["fact_sales"].key
+    joined = _sales(purchases, {**tables, **owned}, days, True)
+    sales = materialize(joined if strict else first_per_key(joined, key), "sales-batch")
     if strict:
         _hold_to_rules(store, "fact_sales", sales)
     stored = store.read("fact_sales", stored_schema("fact_sales"))
-    fresh = rows_to_insert(stored, sales, TARGETS["fact_sales"].key, within="year", ranged="purchase_id")
+    fresh = rows_to_insert(stored, sales, key, within="year", ranged="purchase_id", unique=not strict)
     return store.append("fact_sales", fresh, **LAYOUT["fact_sales"])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martloom.operators.merge import rows_to_insert
+from martloom.operators.merge import first_per_key, rows_to_insert
 from martloom.operators.stock import MAX_GROUP, allocate, apply_decrements
 from martloom.operators.store import TableStore
 from martloom.plans.loads import apply_delta, create_targets, last_mark, save_mark, touched_purchases
@@ -47,8 +47,10 @@ def stream_insert_ignore(
         if batch.isEmpty():
             return
         store = TableStore(batch.sparkSession, root)
-        high = batch.agg(F.max(mark)).first()[0]
-        store.append(table, rows_to_insert(store.read(table, schema), batch, keys, [mark]))
+        with staging(batch.sparkSession):  # grouped and stored once: its keys and rows are read from there
+            high = batch.agg(F.max(mark)).first()[0]
+            fresh = materialize(first_per_key(batch, keys, [mark]), "stream-batch")
+            store.append(table, rows_to_insert(store.read(table, schema), fresh, keys, unique=True))
         known = last_mark(store)
         if known is None or high > known:
             save_mark(store, high)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.calendar import zoneless
-from martloom.operators.audit import audit_counts
 from martloom.operators.keys import dense_ids
 from martloom.operators.merge import insert_ignore, upsert
 from martloom.operators.stock import allocate, apply_decrements, check_stock, rejected_lines
@@ -20,24 +19,19 @@ from martloom.session import materialize, work_path
 from martloom.sources import testdata
 from martloom.streaming import loads as streams
 from registry.base import FIRST_SNAPSHOT, HIGH, LOW, SNAPSHOT, Inputs, query
-from registry.tables import counts_sql, days_early, days_loaded, delta, early, sales
-from registry.views import HIGH_SQL, LOW_SQL, SNAPSHOT_SQL, customer_email_sql, parts_sql, store_email_sql
+from registry.tables import days_early, days_loaded, delta, early, rows_of, rows_sql, sales
+from registry.views import FIRST_SNAPSHOT_SQL, HIGH_SQL, LOW_SQL, SNAPSHOT_SQL, customer_email_sql, parts_sql, store_email_sql
 
 # --- write modes --------------------------------------------------------------
 
 
-@query("snk_full_refresh", counts_sql({n: n for n in TARGETS}) + "\nUNION ALL SELECT 'fact_sales_value', CAST(sum(CAST(line_value * 100 AS BIGINT)) AS BIGINT) FROM fact_sales")
+@query("snk_full_refresh", rows_sql({n: n for n in TARGETS}, TARGETS))
 def snk_full_refresh(t: Inputs) -> DataFrame:
     store = TableStore(t.spark, work_path(t.spark, "full-refresh"))
     tables = t.bundle(*SLICED_SOURCES)
     loads.load_full(tables, store, FIRST_SNAPSHOT, high=LOW)
     loads.load_full(tables, store, SNAPSHOT)  # replaces every row of the first load
-    stored = loads.read_targets(store)
-    value = stored["fact_sales"].agg(
-        F.lit("fact_sales_value").alias("table_name"),
-        F.sum(F.round(F.col("line_value") * 100).cast("bigint")).alias("n_rows"),
-    )
-    return audit_counts(stored).unionByName(value)
+    return rows_of(loads.read_targets(store), TARGETS)
 
 
 @query(
@@ -167,17 +161,18 @@ def inc_late_status(t: Inputs) -> DataFrame:
 _RELOADED = {n: n for n in ("dim_customers", "dim_items", "dim_sizes", "dim_stores")} | {
     "dim_time": "dim_time_loaded",
     "fact_sales": "(SELECT * FROM sales_early UNION ALL SELECT * FROM sales_delta)",
-    "fact_inventory": "(SELECT 1 FROM inventory UNION ALL SELECT 1 FROM inventory)",
+    "fact_inventory": "(SELECT i.* EXCLUDE (quantity, created_at), d.date_id, i.quantity AS quantity_in_stock FROM inventory i "
+    f"JOIN dim_time_loaded d ON d.date IN ({FIRST_SNAPSHOT_SQL}, {SNAPSHOT_SQL}))",
 }
 
 
-@query("inc_idempotent_reload", counts_sql({n: _RELOADED[n] for n in TARGETS}))
+@query("inc_idempotent_reload", rows_sql({n: _RELOADED[n] for n in TARGETS}, TARGETS))
 def inc_idempotent_reload(t: Inputs) -> DataFrame:
     store, tables = _loaded(t, "inc-reload")
     long_ago = HIGH - LOW + dt.timedelta(days=3650)
     later = HIGH + dt.timedelta(days=1)
     loads.load_incremental(tables, store, later, SNAPSHOT, look_back=long_ago)  # the slice covers everything again
-    return audit_counts(loads.read_targets(store))
+    return rows_of(loads.read_targets(store), TARGETS)
 
 
 @query(

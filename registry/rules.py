@@ -9,7 +9,7 @@ from martloom.functions.text import region_of
 from martloom.operators import quality as dq
 from martloom.operators.audit import union_all
 from martloom.operators.stock import apply_decrements
-from martloom.plans import dims
+from martloom.plans import dims, facts
 from martloom.schema import (
     PHONE_PATTERN,
     REGIONS,
@@ -22,8 +22,8 @@ from martloom.schema import (
     Minimum,
     Table,
 )
-from registry.base import Inputs, query
-from registry.tables import days_early, delta
+from registry.base import SNAPSHOT, Inputs, query
+from registry.tables import days, days_early, delta, sales
 from registry.views import region_sql
 
 
@@ -46,9 +46,9 @@ LEFT JOIN dim_time_early d ON d.date = p.order_date"""
 
 def candidates(t: Inputs) -> DataFrame:
     """fact_sales rows by left joins: gaps stay as nulls."""
-    days = F.broadcast(days_early(t).select(F.col("date").alias("order_date"), "date_id"))
+    calendar = F.broadcast(days_early(t).select(F.col("date").alias("order_date"), "date_id"))
     header = t.purchases.select(F.col("id").alias("purchase_id"), "customer_id", "store_id", "order_date").join(
-        days, "order_date", "left"
+        calendar, "order_date", "left"
     )
     return (
         t.purchases_items.drop("created_at")
@@ -261,17 +261,52 @@ JOIN demand d ON d.l_partkey = v.item_id AND d.size_id = v.size_id AND d.l_suppk
         "CAST(quantity - 25 AS VARCHAR)",
         "demand",
         "quantity - 25 <= 0",
+    )
+    + "\nUNION ALL "
+    + _row_sql("prices", "minimum:value", "item_id || '|' || size_id", "CAST(value - 1000 AS VARCHAR)", "prices", "value - 1000 <= 0")
+    + "\nUNION ALL "
+    + _row_sql(
+        "fact_sales",
+        "minimum:line_value",
+        "purchase_id || '|' || item_id || '|' || size_id",
+        "CAST(CAST(25 - quantity_sold AS DOUBLE) AS VARCHAR)",
+        "fact_sales",
+        "25 - quantity_sold < 0",
+    )
+    + "\nUNION ALL "
+    + _row_sql(
+        "fact_sales",
+        "minimum:quantity_sold",
+        "purchase_id || '|' || item_id || '|' || size_id",
+        "CAST(quantity_sold - 25 AS VARCHAR)",
+        "fact_sales",
+        "quantity_sold - 25 < 0",
+    )
+    + "\nUNION ALL "
+    + _row_sql(
+        "fact_inventory",
+        "minimum:quantity_in_stock",
+        "item_id || '|' || size_id || '|' || store_id || '|' || date_id",
+        "CAST(quantity_in_stock - 50 AS VARCHAR)",
+        "fact_inventory",
+        "quantity_in_stock - 50 < 0",
     ),
 )
 def dq_ranges(t: Inputs) -> DataFrame:
-    # stock driven below zero by unchecked demand, and line quantities moved down by 25
+    # stock driven below zero by unchecked demand; quantities, prices and stock moved down; values turned by the quantity
     keys = ["item_id", "size_id", "store_id"]
     lines = t.demand.withColumnsRenamed({"l_partkey": "item_id", "l_suppkey": "store_id", "l_orderkey": "purchase_id"})
     negative = apply_decrements(t.inventory, lines, keys)
     moved = lines.withColumn("quantity", F.col("quantity") - 25)
-    return dq.row_violations(negative, SOURCES["inventory"], ("minimum",)).unionByName(
-        dq.row_violations(moved, SOURCES["purchases_items"], ("minimum",))
+    cheap = t.prices.withColumn("value", F.col("value") - 1000)
+    d = days(t)
+    sold = sales(t, t.purchases, d).withColumns(
+        {"line_value": (25 - F.col("quantity_sold")).cast("double"), "quantity_sold": F.col("quantity_sold") - 25}
     )
+    stock = facts.fact_inventory(t.inventory, facts.date_id_of(d, SNAPSHOT)).withColumn("quantity_in_stock", F.col("quantity_in_stock") - 50)
+    checked = [(negative, SOURCES["inventory"]), (moved, SOURCES["purchases_items"]), (cheap, SOURCES["prices"])]
+    checked += [(sold, TARGETS["fact_sales"]), (stock, TARGETS["fact_inventory"])]
+    return union_all([dq.row_violations(df, table, ("minimum",)) for df, table in checked])
 
 
 @query(

@@ -61,36 +61,50 @@ def targets(t: Inputs) -> dict[str, DataFrame]:
     }
 
 
-def counts_sql(tables: dict[str, str]) -> str:
-    return "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {src}" for n, src in tables.items())
+# Money is compared in whole cents and times without a zone, as both engines write them alike.
+_CENTS = {"line_value"}
+_TIMES = {"created_at"}
 
 
-# --- scans --------------------------------------------------------------------
+def rows_of(tables: dict[str, DataFrame], declared=SOURCES) -> DataFrame:
+    """Every row of every table with all its declared columns as one text."""
 
-_FULL_SQL = "\nUNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST({len(s.columns)} AS INTEGER) AS n_columns, "
-    f"CAST(sum({s.key[0]}) AS BIGINT) AS key_sum, CAST(max({s.key[-1]}) AS BIGINT) AS last_key FROM {n}"
-    for n, s in SOURCES.items()
-)
+    def text(c: str):
+        x = F.round(F.col(c) * 100).cast("bigint") if c in _CENTS else F.col(c).cast("timestamp_ntz") if c in _TIMES else F.col(c)
+        return F.coalesce(x.cast("string"), F.lit("null"))
 
-
-@query("src_full_extract", _FULL_SQL)
-def src_full_extract(t: Inputs) -> DataFrame:
-    bundle = extract(t.bundle(*SOURCES))
     return union_all(
         [
-            df.agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.lit(len(df.columns)).alias("n_columns"),
-                F.sum(SOURCES[name].key[0]).alias("key_sum"),
-                F.max(SOURCES[name].key[-1]).alias("last_key"),
-            )
-            for name, df in bundle.items()
+            df.select(F.lit(n).alias("table_name"), F.concat_ws("|", *(text(c.name) for c in declared[n].columns)).alias("content"))
+            for n, df in tables.items()
         ]
     )
 
 
+def rows_sql(tables: dict[str, str], declared=SOURCES) -> str:
+    """The same in DuckDB; ``tables`` gives what stands after FROM."""
+
+    def text(c: str) -> str:
+        x = f"CAST(round({c} * 100) AS BIGINT)" if c in _CENTS else f"CAST({c} AS TIMESTAMP)" if c in _TIMES else c
+        return f"coalesce(CAST({x} AS VARCHAR), 'null')"
+
+    return "\nUNION ALL ".join(
+        f"SELECT '{n}' AS table_name, concat_ws('|', {', '.join(text(c.name) for c in declared[n].columns)}) AS content FROM {src}"
+        for n, src in tables.items()
+    )
+
+
+def counts_sql(tables: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {src}" for n, src in tables.items())
+
+
+# --- scans --------------------------------------------------------------------
+
+@query("src_full_extract", rows_sql({n: n for n in SOURCES}))
+def src_full_extract(t: Inputs) -> DataFrame:
+    return rows_of(extract(t.bundle(*SOURCES)))
+
+
 _SLICE_LOW, _SLICE_HIGH = "TIMESTAMP '2000-06-30'", "TIMESTAMP '2025-01-15'"
 
 
@@ -99,20 +113,11 @@ def _slice(t: Inputs) -> dict[str, DataFrame]:
 
 
 _SLICE_WHERE = f"created_at > {_SLICE_LOW} AND created_at <= {_SLICE_HIGH}"
-_SLICE_SQL = "\nUNION ALL ".join(
-    f"SELECT '{n}' AS table_name, {SOURCES[n].key[0]} AS key, created_at FROM {n} WHERE {_SLICE_WHERE}"
-    for n in SLICED_SOURCES
-)
 
 
-@query("src_incremental_extract", _SLICE_SQL)
+@query("src_incremental_extract", rows_sql({n: f"{n} WHERE {_SLICE_WHERE}" for n in SLICED_SOURCES}))
 def src_incremental_extract(t: Inputs) -> DataFrame:
-    return union_all(
-        [
-            df.select(F.lit(n).alias("table_name"), F.col(SOURCES[n].key[0]).alias("key"), "created_at")
-            for n, df in _slice(t).items()
-        ]
-    )
+    return rows_of(_slice(t))
 
 
 @query(
@@ -476,11 +481,11 @@ def fct_inventory(t: Inputs) -> DataFrame:
 @query(
     "fct_inventory_incremental",
     f"""SELECT item_id, size_id, store_id, (SELECT date_id FROM dim_time_added WHERE date = {SNAPSHOT_SQL}) AS date_id,
-       quantity AS quantity_in_stock FROM inventory WHERE created_at <= {HIGH_SQL}""",
+       quantity AS quantity_in_stock FROM inventory WHERE created_at > {_SLICE_HIGH} AND created_at <= {HIGH_SQL}""",
 )
 def fct_inventory_incremental(t: Inputs) -> DataFrame:
     return facts.fact_inventory(
-        created_between(t.inventory, None, HIGH), facts.date_id_of(days_loaded(t), SNAPSHOT)
+        created_between(t.inventory, dt.datetime(2025, 1, 15), HIGH), facts.date_id_of(days_loaded(t), SNAPSHOT)
     )
 
 
