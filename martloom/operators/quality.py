@@ -149,10 +149,17 @@ def split(df: DataFrame, table: Table, tables: Mapping[str, DataFrame] | None =
         parent = tables[r.parent].select(
             *(F.col(p).alias(c) for c, p in zip(columns, r.parent_columns, strict=True))
         )
-        judged = judged.join(parent.distinct().withColumn(flag, F.lit(True)), columns, "left")
         given = F.lit(True)
         for c in columns:
             given = given & F.col(c).isNotNull()
+        # rows without a key find no parent; a hash of their own key spreads them over all partitions
+        apart = F.when(given, F.xxhash64(*columns)).otherwise(F.xxhash64(*table.key))
+        same = F.xxhash64(*(F.col(c).try_cast(df.schema[c].dataType) for c in columns))
+        judged = (
+            judged.withColumn("_apart", apart)
+            .join(parent.distinct().withColumns({flag: F.lit(True), "_apart": same}), [*columns, "_apart"], "left")
+            .drop("_apart")
+        )
         broken.append(
             F.when(given & F.col(flag).isNull(), F.lit(f"foreign_key:{','.join(columns)}->{r.parent}"))
         )

@@ -84,6 +84,24 @@ def test_split_and_enforce(spark, toy):
         dq.enforce(dq.check(toy, SOURCES))
 
 
+def test_split_spreads_rows_without_a_key(spark, toy):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        guests = toy["purchases"].withColumn("customer_id", F.lit(None).cast(toy["purchases"].schema["customer_id"].dataType))
+        good, rejected = dq.split(guests, SOURCES["purchases"], {"customers": toy["customers"]})
+        assert good.count() == guests.count() > 0 and rejected.isEmpty()
+        assert good.columns == guests.columns
+        lost = toy["purchases"].withColumn("customer_id", F.col("customer_id") + 1000)
+        good, rejected = dq.split(lost, SOURCES["purchases"], {"customers": toy["customers"]})
+        assert good.where("customer_id is not null").isEmpty()
+        assert rejected.count() == lost.where("customer_id is not null").count() > 0
+        plan = rejected._jdf.queryExecution().executedPlan().toString()
+        assert "_apart" in next(x for x in plan.splitlines() if "hashpartitioning(customer_id" in x)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_catalog_domain(spark, toy):
     allowed = spark.createDataFrame([("Unico",)], "s string")
     assert rows(dq.outside_domain(toy["sizes"], SOURCES["sizes"], "size", allowed), "rule", "value") == [
