@@ -1,7 +1,9 @@
 """Personal data: format-preserving pseudonyms by a keyed Feistel permutation, all in SQL functions.
 
-A value is found by its shape and validated: e-mail addresses, North American phone numbers, IPv4
-addresses, payment card numbers (Luhn), social security numbers, ISO dates from 1900 to 2099. A valid value is
+A value is found by its shape and validated: e-mail addresses, phone numbers, IPv4 addresses, payment card
+numbers (Luhn), social security numbers, ISO dates from 1900 to 2099. Cards in the groups they are printed in are
+found first, at any group a number may begin with, so that a number beside another hides neither; the other formats
+are looked for between them, and last cards with blanks or hyphens anywhere. A valid value is
 written as a pair of numbers (l, r) below (a, b); eight rounds add a keyed hash of one to the other in turn, which permutes all
 values of that format. So a pseudonym has the format of its value, two values never get one pseudonym, and equal values stay
 linked across documents. A card's check digit is computed anew; an address' letters and digits move within their kinds.
@@ -26,7 +28,16 @@ PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .\-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[
 SSN = r"(?<![0-9A-Za-z\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z]|-[0-9])"
 DATE = r"(?<![0-9A-Za-z\-/])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9A-Za-z]|-[0-9])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z]|[ \-][0-9])"
-ANY = "|".join((EMAIL, IPV4, PHONE, SSN, DATE, CARD))
+# digits in one, and the groups of the card schemes: 4-4-4-4 and up to three more, 4-4-4-1 to 4-4-4-3, 4-4-5, 4-6-4, 4-6-5, 4-7-4, 4-5-6, 6-13
+PRINTED = (
+    "[0-9]{13,19}",
+    *(rf"[0-9]{{4}}([ \-])[0-9]{{4}}\2[0-9]{{4}}\2[0-9]{{4}}\2[0-9]{{{n}}}" for n in (3, 2, 1)),
+    r"[0-9]{4}([ \-])[0-9]{4}\2[0-9]{4}\2[0-9]{1,4}",
+    r"[0-9]{4}([ \-])(?:[0-9]{4}\2[0-9]{5}|[0-9]{6}\2[0-9]{4,5}|[0-9]{7}\2[0-9]{4}|[0-9]{5}\2[0-9]{6})",
+    r"[0-9]{6}[ \-][0-9]{13}",
+)
+MAYBE_PRINTED = r"[0-9]{13}|[0-9]{4}[ \-][0-9]{4}"  # part of each
+ANY = "|".join((EMAIL, IPV4, PHONE, SSN, DATE))
 
 
 def _shape(m: Column, pattern: str) -> Column:
@@ -208,24 +219,47 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     )
 
 
+def _printed_cards(text: Column) -> Column:
+    """The valid cards of a text in printed groups, wherever a group begins, longest first."""
+    each = (F.regexp_extract_all(text, F.lit(rf"(?<![0-9A-Za-z])(?=({p})(?![0-9A-Za-z]))"), F.lit(1)) for p in PRINTED)
+    digits = F.filter(F.array_distinct(F.concat(*each)), lambda m: F.length(_digits(m)).between(13, 19) & F.call_function("luhn_check", _digits(m)))
+    return F.transform(F.sort_array(F.transform(digits, lambda m: named(n=F.length(m), m=m)), asc=False), lambda x: x["m"])
+
+
+def _cut(parts: Column, pattern: Column, change: Callable[[Column], Column]) -> Column:
+    """``parts`` (old, new) with the finds of ``pattern`` in those not yet changed as parts of their own."""
+
+    def cut(p: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(p["old"], pattern, F.lit(0)), lambda m: named(old=m, new=change(m)))
+        gaps = F.transform(F.split(p["old"], pattern, -1), lambda g: named(old=g, new=g))
+        return F.filter(F.flatten(F.zip_with(gaps, found, lambda g, f: F.array(g, f))), lambda x: x.isNotNull())
+
+    open_ = lambda p: (p["old"] == p["new"]) & p["old"].rlike("[0-9@]")
+    return F.flatten(F.transform(parts, lambda p: F.when(open_(p), cut(p)).otherwise(F.array(p))))
+
+
 def masked(text: Column, key: str = KEY) -> Column:
     """struct(text, n_values): the text with pseudonyms and how many values were replaced."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    new = F.transform(found, lambda m: pseudonym(m, key))
-    gaps = F.split(text, ANY, -1)
-    pair = named(gaps=gaps, old=found, new=new)
-    whole = F.element_at(
-        F.transform(
-            F.array(pair),
-            lambda p: named(
-                text=F.concat_ws("", F.flatten(F.zip_with(p["gaps"], F.concat(p["new"], F.array(F.lit(""))), lambda g, n: F.array(g, n)))),
-                n_values=F.size(F.filter(F.zip_with(p["old"], p["new"], lambda o, n: o != n), lambda x: x)),
-            ),
+
+    def card(m: Column) -> Column:
+        return _card(m, key)
+
+    def printed(p: Column) -> Column:
+        literal = F.concat(F.lit("(?<![0-9A-Za-z])(?:"), F.array_join(p["cards"], "|"), F.lit(")(?![0-9A-Za-z])"))
+        return F.when(F.size(p["cards"]) > 0, _cut(p["parts"], literal, card)).otherwise(p["parts"])
+
+    whole = F.array(named(old=text, new=text))
+    cards = F.when(text.rlike(MAYBE_PRINTED), _printed_cards(text)).otherwise(F.expr("cast(array() as array<string>)"))
+    parts = _let(named(parts=whole, cards=cards), printed)
+    parts = _cut(_cut(parts, F.lit(ANY), lambda m: pseudonym(m, key)), F.lit(CARD), card)
+    report = _let(
+        parts,
+        lambda ps: named(
+            text=F.concat_ws("", F.transform(ps, lambda p: p["new"])), n_values=F.size(F.filter(ps, lambda p: p["old"] != p["new"]))
         ),
-        1,
     )
     plain = named(text=text, n_values=F.lit(0))
-    return F.when(text.rlike("[0-9@]") & text.rlike(ANY), whole).otherwise(plain)
+    return F.when(text.rlike("[0-9@]") & (text.rlike(MAYBE_PRINTED) | text.rlike(ANY) | text.rlike(CARD)), report).otherwise(plain)
 
 
 def mask_documents(docs: DataFrame, key: str = KEY, column: str = "text") -> DataFrame:

@@ -393,6 +393,32 @@ def test_values_are_masked_in_their_format(spark):
     assert again[1] != got[1].text
 
 
+CARD_A, CARD_B = "7536784127813050", "4845168114407329"
+
+
+@pytest.mark.parametrize(
+    "text,left",
+    [
+        ("10001 212-555-0199", "10001 "),
+        ("Suite 400 212-555-0199", "Suite 400 "),
+        ("2 2024-01-05 2024-01-06", "2 "),
+        ("4111111111111111 123", " 123"),
+        ("4111111111111111 12/27", " 12/27"),
+        ("4111 1111 1111 1111 12/27", " 12/27"),
+        ("1234 4111 1111 1111 1111", "1234 "),
+        ("212 555 4111 1111 1111 1111", "212 555 "),
+        ("411111111111 1111", ""),
+        (f"{CARD_A} {CARD_B}", " "),
+    ],
+)
+def test_a_number_beside_another_hides_neither(spark, text, left):
+    got = pii.mask_report(documents(spark, [(1, text, "s")])).first()
+    values = {"4111111111111111", "4111 1111 1111 1111", "212-555-0199", "2024-01-05", "2024-01-06", CARD_A, CARD_B, "411111111111 1111"}
+    inside = [v for v in values if v in text]
+    assert got.n_values == len(inside) and not any(v in got.text for v in inside)
+    assert len(got.text) == len(text) and (got.text.startswith(left) or got.text.endswith(left) or left in got.text)
+
+
 def test_masking_keeps_rows_and_columns(edge, empty):
     masked = pii.mask_documents(edge)
     assert masked.columns == edge.columns and sorted(map(repr, masked.collect())) == sorted(map(repr, edge.collect()))
