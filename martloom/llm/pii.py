@@ -24,9 +24,14 @@ KEY = "change-me"  # a deployment passes its own secret
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,24}"
 IPV4 = rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .\-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .\-])[2-9][0-9]{2}[ .\-][0-9]{4}(?![0-9A-Za-z])"
+PHONE = (
+    r"(?<![0-9A-Za-z+])(?:\+?1[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}[ .\-][0-9]{3}[ .\-][0-9]{4}"
+    r"|(?<![0-9][.,])[2-9][0-9]{2}[2-9][0-9]{6}(?![.,][0-9]))(?![0-9A-Za-z])"
+)
+ABROAD = r"(?<![0-9A-Za-z+])\+[1-9](?:[ .\-]?[0-9]|[ .\-]?\([0-9]\)|[ .\-]?\([0-9]|[0-9]\)){6,14}(?![0-9A-Za-z]|[.\-][0-9])"
+COUNTRY = "^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"  # one digit, two, else three
 SSN = r"(?<![0-9A-Za-z\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z]|-[0-9])"
-DATE = r"(?<![0-9A-Za-z\-/])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9A-Za-z]|-[0-9])"
+DATE = r"(?<![0-9A-Za-z\-/])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9A-SU-Za-su-z]|[Tt][A-Za-z]|-[0-9])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z]|[ \-][0-9])"
 # digits in one, and the groups of the card schemes: 4-4-4-4 and up to three more, 4-4-4-1 to 4-4-4-3, 4-4-5, 4-6-4, 4-6-5, 4-7-4, 4-5-6, 6-13
 PRINTED = (
@@ -37,7 +42,7 @@ PRINTED = (
     r"[0-9]{6}[ \-][0-9]{13}",
 )
 MAYBE_PRINTED = r"[0-9]{13}|[0-9]{4}[ \-][0-9]{4}"  # part of each
-ANY = "|".join((EMAIL, IPV4, PHONE, SSN, DATE))
+ANY = "|".join((EMAIL, IPV4, PHONE, ABROAD, SSN, DATE))
 
 
 def _shape(m: Column, pattern: str) -> Column:
@@ -117,19 +122,47 @@ def _card(m: Column, key: str) -> Column:
 def _phone(m: Column, key: str) -> Column:
     def put(d: Column) -> Column:
         ten = F.substring(d, F.length(d) - 9, F.lit(10))
-        left = F.substring(ten, 1, 3).cast("long") - 200
-        right = (F.substring(ten, 4, 3).cast("long") - 200) * 10000 + F.substring(ten, 7, 4).cast("long")
+        area, rest = F.substring(ten, 1, 3).cast("long"), F.substring(ten, 4, 7).cast("long")
         lead = F.substring(d, F.lit(1), F.length(d) - 10)
-        return _let(
-            feistel(left, right, F.lit(800), F.lit(8_000_000), key, "phone"),
-            lambda s: _refill(
-                m, F.concat(lead, (s["l"] + 200).cast("string"), (F.floor(s["r"] / 10000) + 200).cast("string"), _pad(s["r"] % 10000, 4))
-            ),
+        # 800 * 8,000,000 numbers whose area and exchange begin with 2 to 9; of the others 200 * 10^7 by the area, 800 * 2,000,000 by the exchange
+        index = F.when(area < 200, area * 10_000_000 + rest).otherwise(2_000_000_000 + (area - 200) * 2_000_000 + rest)
+
+        def other(n: Column) -> Column:
+            late = n - 2_000_000_000
+            return F.when(n < 2_000_000_000, _pad(n, 10)).otherwise(
+                F.concat((F.floor(late / 2_000_000) + 200).cast("string"), _pad(late % 2_000_000, 7))
+            )
+
+        assigned = _let(
+            feistel(area - 200, rest - 2_000_000, F.lit(800), F.lit(8_000_000), key, "phone"),
+            lambda x: F.concat((x["l"] + 200).cast("string"), (x["r"] + 2_000_000).cast("string")),
+        )
+        free = _let(
+            feistel(F.floor(index / 60_000), index % 60_000, F.lit(60_000), F.lit(60_000), key, "phone-other"),
+            lambda x: other(x["l"] * 60_000 + x["r"]),
         )
+        return _refill(m, F.concat(lead, F.when((area >= 200) & (rest >= 2_000_000), assigned).otherwise(free)))
 
     return _let(_digits(m), put)
 
 
+def _abroad(m: Column, key: str) -> Column:
+    """The digits behind the country code move among all of their number."""
+
+    def put(d: Column) -> Column:
+        code = F.regexp_extract(d, COUNTRY, 1)
+        n = F.length(d) - F.length(code)
+        half = F.floor(n / 2).cast("int")
+        own = F.substring(d, F.length(code) + 1, n)
+        a, b = F.pow(F.lit(10), half).cast("long"), F.pow(F.lit(10), n - half).cast("long")
+        left, right = F.substring(own, F.lit(1), half).cast("long"), F.substring(own, half + 1, n - half).cast("long")
+        return _let(
+            feistel(left, right, a, b, key, "abroad"), lambda x: _refill(m, F.concat(code, _pad(x["l"], half), _pad(x["r"], n - half)))
+        )
+
+    return F.when(_digits(m).rlike("^1[0-9]{10}$"), _phone(m, key)).otherwise(_let(_digits(m), put))
+
+
 def _ssn(m: Column, key: str) -> Column:
     def put(d: Column) -> Column:
         area = F.substring(d, 1, 3).cast("long")
@@ -213,6 +246,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
         F.when(F.contains(m, F.lit("@")), _email(m, key))
         .when(_shape(m, IPV4), _ipv4(m, key))
         .when(_shape(m, PHONE), _phone(m, key))
+        .when(_shape(m, ABROAD), _abroad(m, key))
         .when(_shape(m, SSN), _ssn(m, key))
         .when(_shape(m, DATE), _date(m, key))
         .otherwise(_card(m, key))

@@ -419,6 +419,29 @@ def test_a_number_beside_another_hides_neither(spark, text, left):
     assert len(got.text) == len(text) and (got.text.startswith(left) or got.text.endswith(left) or left in got.text)
 
 
+def test_phones_of_any_digits_and_dates_before_a_time(spark):
+    phones = ["+1 (017) 555-7713", "+1 (132) 555-1352", "171.555.2028", "2125550199", "+12125550199", "+44 20 7946 0958", "+49 (0)30 1234567", "+353 1 234 5678"]
+    stay = ["1700000000", "0.2125550199", "2024-01-05Tx"]
+    rows = [(k, f"call {v}, or", "s") for k, v in enumerate([*phones, *stay])] + [(99, "at 2024-01-05T12:30:00Z", "s")]
+    got = {r.doc_id: r for r in pii.mask_report(documents(spark, rows)).collect()}
+    for k, v in enumerate(phones):
+        new = got[k].text[5:-4]
+        assert got[k].n_values == 1 and new != v and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", v), v
+    assert got[5].text.startswith("call +44 ") and got[7].text.startswith("call +353 ")
+    assert got[3].text[5:-4] == got[4].text[7:-4]  # equal numbers stay linked
+    assert [got[k].text for k in range(len(phones), len(phones) + len(stay))] == [f"call {v}, or" for v in stay]
+    assert got[99].n_values == 1 and got[99].text.endswith("T12:30:00Z") and "2024-01-05" not in got[99].text
+
+
+def test_phones_map_one_to_one(spark):
+    ids = spark.range(4000).select(F.lpad((F.col("id") * 2_499_983).cast("string"), 10, "0").alias("d"))
+    out = ids.select("d", F.regexp_replace("d", "(...)(...)(....)", "$1-$2-$3").alias("p")).select("d", pii.pseudonym(F.col("p")).alias("p")).collect()
+    obeys = lambda d: d[0] > "1" and d[3] > "1"
+    digits = [re.sub("-", "", r.p) for r in out]
+    assert len(set(digits)) == len(out) and all(re.fullmatch("[0-9]{3}-[0-9]{3}-[0-9]{4}", r.p) for r in out)
+    assert all(obeys(r.d) == obeys(n) for r, n in zip(out, digits, strict=True))
+
+
 def test_masking_keeps_rows_and_columns(edge, empty):
     masked = pii.mask_documents(edge)
     assert masked.columns == edge.columns and sorted(map(repr, masked.collect())) == sorted(map(repr, edge.collect()))
