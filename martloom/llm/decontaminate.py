@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders, so a question with other numbers or names has the same template. Windows of
 eight template tokens of the documents are hash-joined with those of the benchmark; windows of a document that stand
 at one distance from an item's are one match. What stood in the placeholders must then agree: one value of the item
-always became the same value of the document and no two became one. An exact copy is the case where nothing changed.
+always became the same value of the document. An exact copy is the case where nothing changed. An item whose windows hold too
+few words of their own gets wider ones, and if it has too few in all, one key over its whole template and one over its words.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from martloom.session import materialize
 
 WIDTH = 8  # tokens of a window
 LITERAL = 5  # of them at least so many are no placeholders
+TELLING = 3  # a whole template of at least so many literal tokens tells an item whose windows hold too few
 SHORTEST = 4  # items of fewer tokens are too common to be told from chance and are not looked for
 COVERED = 0.4  # share of an item's windows that makes a leak
 
@@ -34,6 +36,7 @@ UNITS = (
     "ounces liters litres seconds minutes hours days weeks months years percent degrees"
 ).split()
 LITERAL_KIND, NUMBER, NAME, UNIT = range(4)
+WINDOWS, WHOLE, VERBATIM = range(3)  # what a key stands for: a window, a whole template, a whole item word by word
 
 _LETTER = np.zeros(256, bool)
 _LETTER[np.r_[48:58, 65:91, 97:123, 128:256]] = True
@@ -110,49 +113,102 @@ def windows(value: np.ndarray, kind: np.ndarray, width: int) -> tuple[np.ndarray
     return mix(run[place]), place
 
 
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def whole(value: np.ndarray, kind: np.ndarray, width: int, mode: int) -> np.ndarray:
+    """Hash of each run of ``width`` tokens, by template or by words. A name that begins a run counts as a word, as at the start of an item."""
+    n = len(value) - width + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    shape = value if mode == VERBATIM else np.where(kind == LITERAL_KIND, value, _HOLE[kind])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(shape * _powers(_BASE, len(shape)), dtype=np.uint64)])
+    run = (total[width:] - total[:-width]) * _powers(_BACK, n)
+    first = np.where(kind[:n] == NAME, value[:n], shape[:n])
+    return mix(run - shape[:n] + first + np.uint64(1_000_003 * width + mode))
+
+
 def _slots(value: np.ndarray, kind: np.ndarray, at: int, width: int) -> np.ndarray:
     return value[at : at + width][kind[at : at + width] != LITERAL_KIND].view(np.int64)
 
 
+def _filled(value: np.ndarray, kind: np.ndarray, at: int, width: int, mode: int) -> np.ndarray:
+    if mode == VERBATIM:
+        return np.empty(0, np.int64)
+    if mode == WHOLE and kind[at] == NAME:  # counted as a word
+        return _slots(value, kind, at + 1, width - 1)
+    return _slots(value, kind, at, width)
+
+
+def _width(kind: np.ndarray) -> int:
+    """The least width from ``WIDTH`` on of which a window holds enough literal tokens; 0 if there is none."""
+    literal = np.flatnonzero(kind == LITERAL_KIND)
+    w = min(WIDTH, len(kind))
+    need = min(LITERAL, w - 1)
+    if len(literal) < need:
+        return 0
+    return max(w, int((literal[need - 1 :] - literal[: len(literal) - need + 1]).min()) + 1)
+
+
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in pieces(batch):
-            ids, width, count, key, place, slots = [], [], [], [], [], []
+            ids, mode, width, count, key, place, slots = [], [], [], [], [], [], []
             for item, text in zip(part.column("item_id").to_pylist(), texts, strict=True):
                 value, kind = template(text.encode("utf-8", "surrogatepass"))
                 if len(value) < SHORTEST:
                     continue
-                w = min(WIDTH, len(value))
-                found, at = windows(value, kind, w)
-                ids += [item] * len(at)
-                width += [w] * len(at)
-                count += [len(at)] * len(at)
-                key += found.view(np.int64).tolist()
-                place += at.tolist()
-                slots += [_slots(value, kind, a, w) for a in at]
+                w = _width(kind)
+                if w:
+                    found, at = windows(value, kind, w)
+                    keys = [(WINDOWS, found, at, [_slots(value, kind, a, w) for a in at])]
+                else:
+                    w, start = len(value), np.zeros(1, np.int64)
+                    keys = [(VERBATIM, whole(value, kind, w, VERBATIM), start, [np.empty(0, np.int64)])]
+                    if (kind == LITERAL_KIND).sum() >= TELLING:
+                        keys.append((WHOLE, whole(value, kind, w, WHOLE), start, [_slots(value, kind, 0, w)]))
+                for m, found, at, own in keys:
+                    ids += [item] * len(at)
+                    mode += [m] * len(at)
+                    width += [w] * len(at)
+                    count += [len(at)] * len(at)
+                    key += found.view(np.int64).tolist()
+                    place += at.tolist()
+                    slots += own
             if ids:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(width, pa.int32()), pa.array(count, pa.int64()), pa.array(key, pa.int64()), pa.array(place, pa.int64()), lists(slots)],
-                    names=["item_id", "width", "n_windows", "key", "place", "slots"],
+                    [pa.array(ids, pa.int64()), pa.array(mode, pa.int32()), pa.array(width, pa.int32()), pa.array(count, pa.int64()), pa.array(key, pa.int64()), pa.array(place, pa.int64()), lists(slots)],
+                    names=["item_id", "mode", "width", "n_windows", "key", "place", "slots"],
                 )
 
 
-def _document_rows(wanted: np.ndarray, widths: list[int]):
+def _document_rows(wanted: np.ndarray, widths: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces(batch):
                 row, key, place, slots = [], [], [], []
                 for k, text in enumerate(texts):
                     value, kind = template(text.encode("utf-8", "surrogatepass"))
-                    for w in widths:
-                        found, at = windows(value, kind, w)
+                    for w, mode in widths:
+                        if mode == WINDOWS:
+                            found, at = windows(value, kind, w)
+                        else:
+                            found = whole(value, kind, w, mode)
+                            at = np.arange(len(found))
                         hit = passes(wanted, found)
                         if hit.any():
                             some = at[hit]
                             row += [k] * len(some)
                             key += found[hit].view(np.int64).tolist()
                             place += some.tolist()
-                            slots += [_slots(value, kind, a, w) for a in some]
+                            slots += [_filled(value, kind, a, w, mode) for a in some]
                 if row:
                     pick = pa.array(row, pa.int64())
                     yield pa.RecordBatch.from_arrays(
@@ -178,10 +234,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> Da
     items = materialize(
         benchmark.where("item_id is not null")
         .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-        .mapInArrow(_item_rows, "item_id long, width int, n_windows long, key long, place long, slots array<long>"),
+        .mapInArrow(_item_rows, "item_id long, mode int, width int, n_windows long, key long, place long, slots array<long>"),
         "items",
     )
-    widths = sorted(r.width for r in items.select("width").distinct().collect())
+    widths = sorted((r.width, r.mode) for r in items.select("width", "mode").distinct().collect())
     wanted = bit_filter(items, "key", items.count(), each=1024, least=1 << 22)
     shared = spark.sparkContext.broadcast(wanted)
 

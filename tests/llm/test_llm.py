@@ -324,6 +324,29 @@ def test_leaks_of_copied_and_changed_items(spark, edge, empty):
     assert decontaminate.drop_leaks(edge, bench.limit(0)).count() == len(EDGE)
 
 
+def test_items_of_few_words_are_found(spark):
+    items = {
+        1: "What is 5 plus 7",
+        2: "Add 12 km and 30 km to 45 km",
+        3: "Anna Otto Paris Berlin",
+        4: "7 12 19 31 50 81",
+        5: "Take 1 and 2 and 3 and 4 and 5 and 6 and 7 and 8 then give 9 or 10",
+    }
+    verbatim = [(k, f"so they said: here, {v}. And more", "s") for k, v in items.items()]
+    others = [
+        (11, "They ask: What is 31 plus 4? Nobody knows", "s"),
+        (12, "please Add 7 km and 8 km to 9 km now", "s"),
+        (13, "so Hans Emma Lyon Rome came", "s"),
+        (14, "7 12 19 31 50 82", "s"),
+        (15, "take 11 and 12 and 13 and 14 and 15 and 16 and 17 and 18 then give 19 or 20", "s"),
+        (16, "what is 5 minus 7", "s"),
+    ]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.changed for r in decontaminate.leaks(documents(spark, verbatim + others), bench).collect()}
+    assert {k: v for k, v in got.items() if k[0] < 10} == {(k, k): 0 for k in items}
+    assert {k for k in got if k[0] > 10} == {(11, 1), (12, 2), (15, 5)} and got[11, 1] == 2
+
+
 def test_planted_passages_are_found(spark):
     docs = pd.read_parquet(f"{SF_DIR}/documents.parquet")
     bench = pd.read_parquet(f"{SF_DIR}/benchmark.parquet")
