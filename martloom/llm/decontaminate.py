@@ -2,8 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question with other numbers or names has the same template. Windows of
 eight template tokens of the documents are hash-joined with those of the benchmark; windows of a document that stand
-at one distance from an item's are one match. What stood in the placeholders must then agree: one value of the item
-always became the same value of the document. An exact copy is the case where nothing changed. An item whose windows hold too
+at one distance from an item's are one match. Windows whose placeholders hold the item's own values count as they are. Where
+values were replaced, one value of the item must always have become the same new value, or only those windows count. An exact copy is the case where nothing changed. An item whose windows hold too
 few words of their own gets wider ones, and if it has too few in all, one key over its whole template and one over its words.
 """
 
@@ -226,7 +226,7 @@ def text_hash():
 def leaks(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """doc_id, h (hash of the text), item_id, matched, n_windows, coverage, changed for each document that holds a benchmark item.
 
-    ``changed`` counts the item's placeholder values that the document replaced by others. Null and empty texts match
+    ``changed`` counts the item's placeholder values that the document replaced by others, somewhere or everywhere. Null and empty texts match
     nothing; null and repeated ids are told apart by ``h``; rows that repeat a document give one row together. Items
     without an id or with fewer than four tokens are not looked for. Only doc_id and text, item_id and text are read.
     """
@@ -249,17 +249,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> Da
         .withColumn("h", text_hash())
         .mapInArrow(run, "doc_id long, h long, key long, at long, found array<long>")
     )
-    pairs = F.array_distinct(F.flatten("filled"))
-    one_to_one = F.expr("size(array_distinct(p.slots)) = size(p) and size(array_distinct(p.found)) = size(p)")
+    replaced = F.filter(F.array_distinct(F.flatten("filled")), lambda s: s["slots"] != s["found"])
+    consistent = F.expr("size(array_distinct(p.slots)) = size(p)")
     matches = (
         rows.join(items.select("item_id", "n_windows", "key", "place", "slots"), "key")
         .groupBy("doc_id", "h", "item_id", "n_windows", F.expr("at - place").alias("shift"))
-        .agg(F.size(F.collect_set("place")).alias("matched"), F.collect_set(F.arrays_zip("slots", "found")).alias("filled"))
+        .agg(
+            F.size(F.collect_set("place")).alias("all"),
+            F.size(F.collect_set(F.expr("if(slots = found, place, null)"))).alias("same"),
+            F.collect_set(F.arrays_zip("slots", "found")).alias("filled"),
+        )
+        .withColumn("p", replaced)
+        .withColumn("matched", F.when(consistent, F.col("all")).otherwise(F.col("same")))
         .withColumn("coverage", F.col("matched") / F.col("n_windows"))
         .where(F.col("coverage") >= covered)
-        .withColumn("p", pairs)
-        .where(one_to_one)
-        .withColumn("changed", F.size(F.filter("p", lambda s: s["slots"] != s["found"])))
+        .withColumn("changed", F.size(F.expr("array_distinct(p.slots)")))
     )
     best = F.max(F.struct("coverage", F.expr("-changed").alias("same"), "matched", "n_windows")).alias("b")
     return (

@@ -347,6 +347,21 @@ def test_items_of_few_words_are_found(spark):
     assert {k for k in got if k[0] > 10} == {(11, 1), (12, 2), (15, 5)} and got[11, 1] == 2
 
 
+def test_one_conflicting_value_does_not_hide_an_item(spark):
+    rows = [
+        (1, ITEM.replace("waits 3", "waits 4"), "s"),  # one of two equal numbers was changed
+        (2, ITEM.replace("at 9", "at 4").replace("120 km in 3", "120 km in 4").replace("waits 3", "waits 4"), "s"),  # two became one
+        (3, ITEM + " while all of them talk for 3 or 5 hours", "s"),
+    ]
+    long = ITEM + ". " + " ".join(f"then the guard number {k} opens his own small door and 3 people step out of it" for k in ("one", "two", "six"))
+    rows.append((4, long.replace("waits 3", "waits 4").replace("and 3 people", "and 5 people", 1), "s"))  # 3 became 3, 4 and 5
+    bench = spark.createDataFrame([(7, ITEM), (8, long)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(documents(spark, rows), bench).collect()}
+    assert {(1, 7), (2, 7), (3, 7), (4, 8)} <= set(got)
+    assert (got[1, 7].coverage, got[1, 7].changed) == (1.0, 1) and (got[2, 7].coverage, got[2, 7].changed) == (1.0, 2)
+    assert got[4, 8].changed == 1 and got[4, 8].coverage < 1
+
+
 def test_planted_passages_are_found(spark):
     docs = pd.read_parquet(f"{SF_DIR}/documents.parquet")
     bench = pd.read_parquet(f"{SF_DIR}/benchmark.parquet")
