@@ -127,9 +127,10 @@ def load_full(
 def touched_purchases(
     delta: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], high: dt.datetime
 ) -> DataFrame:
-    """Purchases of the slice, and older ones of which a line or the status arrived only now."""
+    """Purchases of the slice, and older ones of which a line, a line's price or the status arrived only now."""
     own = delta["purchases"]
-    arrived = delta["purchases_items"].select("purchase_id").union(delta["purchases_status"].select("purchase_id"))
+    priced = tables["purchases_items"].join(delta["prices"].select("item_id", "size_id"), ["item_id", "size_id"], "left_semi")
+    arrived = delta["purchases_items"].select("purchase_id").union(delta["purchases_status"].select("purchase_id")).union(priced.select("purchase_id"))
     late = arrived.distinct().join(own.select(F.col("id").alias("purchase_id")), "purchase_id", "left_anti")
     older = created_between(tables["purchases"], None, high)
     return own.unionByName(older.join(late.withColumnRenamed("purchase_id", "id"), "id", "left_semi").select(*own.columns))

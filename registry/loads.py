@@ -158,6 +158,19 @@ def inc_late_status(t: Inputs) -> DataFrame:
     return loads.read_target(store, "fact_sales")
 
 
+@query("inc_late_price", "SELECT * FROM sales_early UNION ALL SELECT * FROM sales_delta")
+def inc_late_price(t: Inputs) -> DataFrame:
+    """Every seventh item of the first load gets its prices one slice later."""
+    store = TableStore(t.spark, work_path(t.spark, "inc-late-price"))
+    tables = t.bundle(*SLICED_SOURCES)
+    prices = tables["prices"]
+    late = (F.col("item_id") % 7 == 0) & (F.col("created_at") <= zoneless(LOW))
+    loads.load_full({**tables, "prices": prices.where(~late)}, store, FIRST_SNAPSHOT, high=LOW)
+    moved = F.when(late, zoneless(LOW + dt.timedelta(days=1))).otherwise(F.col("created_at"))
+    loads.load_incremental({**tables, "prices": prices.withColumn("created_at", moved)}, store, HIGH, SNAPSHOT)
+    return loads.read_target(store, "fact_sales")
+
+
 _RELOADED = {n: n for n in ("dim_customers", "dim_items", "dim_sizes", "dim_stores")} | {
     "dim_time": "dim_time_loaded",
     "fact_sales": "(SELECT * FROM sales_early UNION ALL SELECT * FROM sales_delta)",

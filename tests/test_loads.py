@@ -218,3 +218,16 @@ def test_late_line_and_status_reach_the_fact(spark, toy):
     dated = lambda s: loads.read_target(s, "fact_sales").join(loads.read_target(s, "dim_time").select("date_id", "date"), "date_id").drop("date_id")
     assert rows(dated(parts)) == rows(dated(whole))
     assert {k: v for k, v in written.items() if k.startswith("dropped_")} == {"dropped_no_date": 0, "dropped_no_status": 0, "dropped_no_price": 0}
+
+
+def test_late_price_reaches_the_fact(spark, toy):
+    # item 1 has no price at first; its lines belong to purchases of the first load
+    parts, whole = (TableStore(spark, work_path(spark, name)) for name in ("price-parts", "price-whole"))
+    prices = toy["prices"].withColumn("created_at", F.when(F.col("item_id") == 1, F.lit(NEW).cast("timestamp_ntz")).otherwise(F.col("created_at")))
+    later = {**toy, "prices": prices}
+    loads.load_full({**later, "prices": prices.where(F.col("created_at") <= F.lit(OLD).cast("timestamp_ntz"))}, parts, D(2025, 4, 24), high=OLD)
+    first = loads.read_target(parts, "fact_sales").count()
+    loads.load_incremental(later, parts, high=NEW, snapshot_date=D(2025, 4, 24))
+    loads.load_full(later, whole, D(2025, 4, 24))
+    dated = lambda s: loads.read_target(s, "fact_sales").join(loads.read_target(s, "dim_time").select("date_id", "date"), "date_id").drop("date_id")
+    assert first < loads.read_target(whole, "fact_sales").count() and rows(dated(parts)) == rows(dated(whole))
