@@ -169,26 +169,34 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 1000, sample_bytes:
     """Learn from ``labels`` (doc_id, quality); null labels and ids are passed over. None if a label has no document.
 
     Documents are taken label by label in order of a hash of their id until ``sample`` rows or ``sample_bytes`` / 2 bytes
-    of text are reached; each is used whole.
+    of text are reached; each is used whole. Those of over ``sample_bytes`` / 32 bytes come behind all others, the shortest
+    first, and fill what is left. A label all of whose documents are over ``sample_bytes`` / 2 bytes has none.
     """
+    rows = training_rows(docs, labels, sample, sample_bytes).toPandas()
+    y = rows["label"].to_numpy(np.float32)
+    if not len(y) or y.min() == y.max():
+        return None
+    return fit([bytes(t) for t in rows["text"]], y)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int, sample_bytes: int) -> DataFrame:
+    """text, label of the documents ``train`` learns from."""
     marked = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("label")).distinct()
     order = F.xxhash64("doc_id", F.lit(8))
     parts = [marked.where(f"label = {y}").orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
     text = F.coalesce("text", F.lit("")).cast("binary")
     own = docs.select("doc_id", text.alias("text")).join(F.broadcast(parts[0].union(parts[1])), "doc_id")
-    # rows that still fit the byte bound, by the order of the hash: a window over at most 2 * sample rows
-    size = F.sum(F.octet_length("text")).over(_by_label())
-    rows = own.withColumn("size", size).where(F.col("size") <= sample_bytes // 2).orderBy(order, "doc_id", "label").select("text", "label").toPandas()
-    y = rows["label"].to_numpy(np.float32)
-    if not len(y) or y.min() == y.max():
-        return None
-    return fit([bytes(t) for t in rows["text"]], y)
+    # rows that still fit the byte bound, long ones last, by the order of the hash: a window over at most 2 * sample rows
+    size = F.octet_length("text")
+    sized = own.withColumn("long", F.when(size > sample_bytes // 32, size).otherwise(0))
+    fits = sized.withColumn("size", F.sum(size.cast("long")).over(_by_label())).where(F.col("size") <= sample_bytes // 2)
+    return fits.orderBy(order, "doc_id", "label").select("text", "label")
 
 
 def _by_label():
     from pyspark.sql import Window
 
-    return Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    return Window.partitionBy("label").orderBy("long", F.xxhash64("doc_id", F.lit(8)), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def quality_score(net: Network | None) -> Callable[[Column], Column]:

@@ -299,6 +299,17 @@ def test_network_learns_and_reads_the_whole_text(spark, edge):
     assert edge.select(quality.quality_score(None)(F.col("text")).alias("s")).where("s = 0.5").count() == len(EDGE)
 
 
+def test_a_long_document_does_not_close_the_sample(spark):
+    ids = [r.id for r in spark.range(60).orderBy(F.xxhash64("id", F.lit(8))).collect()]
+    size = lambda k: {0: 5 << 20, 2: (4 << 20) - 100}.get(k, 0)
+    docs = spark.createDataFrame([(d, f"text {k} " + "a" * size(k)) for k, d in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, k % 2) for k, d in enumerate(ids)], "doc_id long, quality int")
+    taken = [(r.label, len(r.text)) for r in quality.training_rows(docs, labels, 1000, 8 << 20).collect()]
+    assert sum(y == 1 for y, _ in taken) == 30 and sum(y == 0 for y, n in taken if n < 100) == 28
+    assert max(n for _, n in taken) < 4 << 20 and sum(n for y, n in taken if y == 0) <= 4 << 20
+    assert quality.train(docs.where("length(text) < 100 or length(text) > 5000000"), labels) is not None
+
+
 # --- decontamination ----------------------------------------------------------------
 
 ITEM = "A train leaves Paris at 9 and travels 120 km in 3 hours on a very old track while his friend Anna waits 3 hours at home; how fast is it going on average today"
