@@ -23,10 +23,30 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of a lower-cased text
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 AGREE = 0.6  # share of a template's rare words, by weight, that must agree on its place
-COMMON = 5  # words in more templates than this are not indexed
+COMMON = 5  # words in the templates of more labels than this are not indexed
+
+# label, words of the licence's name behind "gnu", of its version, its SPDX name
+GNU = (
+    ("gpl-2.0", "general public license", "2", "gpl 2 0"),
+    ("gpl-3.0", "general public license", "3", "gpl 3 0"),
+    ("lgpl-2.0", "library general public license", "2", "lgpl 2 0"),
+    ("lgpl-2.1", "lesser general public license", "2 1", "lgpl 2 1"),
+    ("lgpl-3.0", "lesser general public license", "3", "lgpl 3 0"),
+    ("agpl-3.0", "affero general public license", "3", "agpl 3 0"),
+)
+
+
+def _gnu(label: str, name: str, version: str, spdx: str) -> list[tuple[str, str, tuple[str, ...]]]:
+    """The file headers of the Free Software Foundation, "or later" and of one version, and the SPDX line."""
+    published = f"gnu {name} as published by the free software foundation"
+    notices = (f"{published} either version {version}", f"{published} version {version}", f"spdx license identifier {spdx}")
+    return [(label, notice, (notice,)) for notice in notices]
+
 
 # label, notice, phrases that must stand; wording as published by the licences' stewards
 TEMPLATES = (
+    *(notice for licence in GNU for notice in _gnu(*licence)),
+    ("lgpl-2.0", "gnu library general public license version 2", ("gnu library general public license", "version 2")),
     ("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
      ("redistribution and use in source and binary forms", "with or without modification")),
@@ -68,7 +88,8 @@ class Index:
 def build(templates=TEMPLATES) -> Index:
     """Index of templates: (label, notice, phrases); each phrase must stand in its notice."""
     words = [re.findall(WORD, notice) for _, notice, _ in templates]
-    spread = Counter(w for ws in words for w in set(ws))
+    spread = Counter(w for _, w in {(label, w) for (label, _, _), ws in zip(templates, words, strict=True) for w in ws})
+    n = len({label for label, _, _ in templates})
     postings: dict[str, list[tuple[int, int, float]]] = {}
     total, phrases, anchors = [], [], []
     for t, ((label, _, must), ws) in enumerate(zip(templates, words, strict=True)):
@@ -76,7 +97,7 @@ def build(templates=TEMPLATES) -> Index:
         weight = 0.0
         for place, w in enumerate(ws):
             if spread[w] <= limit:
-                idf = math.log(1 + len(templates) / spread[w])
+                idf = math.log(1 + n / spread[w])
                 postings.setdefault(w, []).append((t, place, idf))
                 weight += idf
         total.append(weight)
@@ -88,7 +109,7 @@ def build(templates=TEMPLATES) -> Index:
                 raise ValueError(f"{label}: {phrase!r} is not in its notice")
             own.append((at[0], parts))
         phrases.append(own)
-        anchors.append(max((w for _, parts in own for w in parts if not w.isdigit()), key=lambda w: (-spread[w], len(w), w)))
+        anchors.append("spdx" if "spdx" in ws else max((w for _, parts in own for w in parts if not w.isdigit()), key=lambda w: (-spread[w], len(w), w)))
     return Index([label for label, _, _ in templates], postings, total, phrases, sorted(set(anchors)))
 
 

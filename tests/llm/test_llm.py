@@ -539,6 +539,33 @@ def test_templates_need_their_phrases_in_place(spark):
     assert "gpl-2.0" not in got[list(texts.values()).index("gpl-3.0")].labels
 
 
+def test_gnu_headers_and_spdx_lines_tell_the_licence(spark):
+    header = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by\n * the Free Software Foundation{} {}version {}{}"
+    later = " of the License, or\n * (at your option) any later version."
+    texts = {
+        header.format("program", ";", "", ";", "either ", "2", later): "gpl-2.0",
+        header.format("program", ":", "", ", ", "either ", "3", later): "gpl-3.0",
+        header.format("library", ";", "Library ", ";", "either ", "2", later): "lgpl-2.0",
+        header.format("library", ";", "Lesser ", ";", "either ", "2.1", later): "lgpl-2.1",
+        header.format("program", ":", "Lesser ", ",", "either ", "3", later): "lgpl-3.0",
+        header.format("program", ":", "Affero ", ",", "either ", "3", later): "agpl-3.0",
+        header.format("program", ";", "", ",", "", "2", " of the License."): "gpl-2.0",
+        header.format("program", ":", "Affero ", ",", "", "3", "."): "agpl-3.0",
+        "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991": "lgpl-2.0",
+        "// SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0",
+        "# SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0",
+        "/* SPDX-License-Identifier: LGPL-2.0-only */": "lgpl-2.0",
+        "/* SPDX-License-Identifier: LGPL-2.1+ */": "lgpl-2.1",
+        "SPDX-License-Identifier: LGPL-3.0-only": "lgpl-3.0",
+        "SPDX-License-Identifier: AGPL-3.0-or-later": "agpl-3.0",
+        "the GNU General Public License as published by the Free Software Foundation": "",
+    }
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, [(k, f"x.py\n{t}\nimport 3", "s") for k, t in enumerate(texts)])).collect()}
+    gnu = {label for label, *_ in licenses.GNU}
+    for k, (text, label) in enumerate(texts.items()):
+        assert {x for x in got[k].labels.split(",") if x in gnu} == {label} - {""}, text
+
+
 # --- secrets ------------------------------------------------------------------------
 
 
