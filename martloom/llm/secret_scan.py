@@ -1,6 +1,7 @@
 """Secret scans: candidate strings judged by a random forest.
 
-A candidate is a run of twelve or more key characters with a digit in it. Its features are its length and mix of characters, how usual its
+A candidate is whatever a secret's name is given, a run of twelve or more key characters with a digit in it, or one of sixteen or
+more without a digit whose letters change case often or stand in long rows of consonants. Its features are its length and mix of characters, how usual its
 character transitions are in prose, how much of it dictionary words cover, the path it stands under, and the words
 next to it. The forest is trained on labelled findings and takes out false positives: card and phone
 numbers, digests, identifiers, words run together.
@@ -23,12 +24,22 @@ from pyspark.sql import functions as F
 from martloom.llm.common import named
 from martloom.session import materialize
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{12,}+=*"
+_NAME = r"(?:pass(?:word|wd)?|pwd|secret|token|api_?key|auth|credential)s?"
+_GIVEN = rf"(?<=[=:]\s{{0,16}}[\"']?)(?<=(?i:{_NAME}[\"']?\s{{0,16}}[=:]\s{{0,16}}"  # a look back must have a greatest length
+ASSIGNED = (
+    rf"{_GIVEN}\"))[^\"\r\n]+(?=\")|{_GIVEN}'))[^'\r\n]+(?=')"
+    rf"|{_GIVEN}[\"']?))(?![=:])[^\s\"']*[^\s\"',;)\]}}>.]"
+)
+# without a digit: four changes of case, or six consonants in a row
+MIXED = r"(?<![A-Za-z0-9+/_\-])(?:(?=(?:[A-Z+/_\-]*[a-z+/_\-]+[A-Z]){4})|(?=[A-Za-z]*?(?i:[bcdfghj-np-tv-xz]{6})))[A-Za-z+/_\-]{16,}+(?![0-9])=*"
+PLAIN = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{{12,}}+=*|{MIXED}"
+CANDIDATE = f"{ASSIGNED}|{PLAIN}"
+ANY_NAME = rf"(?i){_NAME}[\"']?\s*[=:]"  # looking back at every character is dear: only in texts with a name that is given something
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
 NEAR = 64  # characters on either side that are read for neighbouring words
 
 SECRET_FORMAT = "^(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|AIza[0-9A-Za-z_-]{35}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[0-9A-Za-z]{24,})$"
-SECRET_NAME = r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|api_?key|auth|credential)s?[\"']?\s*[=:]\s*[\"']?$"
+SECRET_NAME = rf"(?i){_NAME}[\"']?\s*[=:]\s*[\"']?$"
 DIGEST_NAME = r"(?i)(?:sha-?(?:1|256|512)?|md5|commit|checksum|digest|revision|rev|etag|integrity)\W{0,3}$"
 UUID = "^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
 KEY_WORDS = "key token secret password passwd pwd pass api auth access bearer credential private signature".split()
@@ -81,11 +92,13 @@ def _usual(text: Column, table: list[float]) -> Column:
 def candidates(files: DataFrame, path: str = "path") -> DataFrame:
     """doc_id, path, place (number in the text), start, value, before, after of every candidate in ``text``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    gaps = F.split(text, CANDIDATE, -1)
-    both = F.struct(found.alias("values"), gaps.alias("gaps"))
-    listed = F.when(text.rlike(CANDIDATE), both)
-    rows = files.where(text.rlike("[0-9]")).select("doc_id", F.col(path).cast("string").alias("path"), listed.alias("x")).where("x is not null")
+
+    def cut(pattern: str) -> Column:
+        both = named(values=F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps=F.split(text, pattern, -1))
+        return F.when(text.rlike(pattern), both)
+
+    listed = F.when(text.rlike(ANY_NAME), cut(CANDIDATE)).otherwise(cut(PLAIN))
+    rows = files.select("doc_id", F.col(path).cast("string").alias("path"), listed.alias("x")).where("x is not null")
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts"))
     lengths = F.zip_with("x.values", F.slice("x.gaps", 1, F.size("x.values")), lambda v, g: named(g=F.length(g), v=F.length(v)))
     starts = F.aggregate(
