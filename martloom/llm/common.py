@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
-ARROW_ROWS = 1000  # rows of an Arrow batch: texts of many KB each must fit a worker's memory
+ARROW_ROWS = 1000  # rows of an Arrow batch
+ARROW_BYTES = 32 << 20  # and its bytes: long texts must fit a worker's memory
 FILTER_BITS = 1 << 30  # largest id filter that is broadcast (128 MB)
 
 
@@ -27,6 +28,7 @@ def named(**fields: Column) -> Column:
 def small_batches(spark: SparkSession) -> SparkSession:
     """Keep Arrow batches small enough for long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
@@ -48,6 +50,19 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) ->
         yield batch.slice(start), texts[start:]
 
 
+def byte_pieces(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """As ``pieces``, with texts as bytes and ``limit`` in bytes."""
+    texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
+    start, held = 0, 0
+    for k, text in enumerate(texts):
+        if held and held + len(text) > limit:
+            yield batch.slice(start, k - start), texts[start:k]
+            start, held = k, 0
+        held += len(text)
+    if start < len(texts):
+        yield batch.slice(start), texts[start:]
+
+
 def lists(arrays: list[np.ndarray], kind: pa.DataType | None = None) -> pa.ListArray:
     """One list per array."""
     offsets = np.zeros(len(arrays) + 1, np.int32)

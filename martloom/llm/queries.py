@@ -7,12 +7,30 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, licenses, mixing, ngram_join, pii, quality, secret_scan, token_counts, topk, toxicity
+from martloom.llm import (
+    conversations,
+    decontaminate,
+    licenses,
+    mixing,
+    ngram_join,
+    periodic_runs,
+    pii,
+    quality,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    topk,
+    toxicity,
+)
 from martloom.llm.common import table
 from martloom.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op4_mix_sources": mixing.ORACLE, "op9_top_k": topk.ORACLE}
+ORACLE: dict[str, str] = {
+    "op4_mix_sources": mixing.ORACLE,
+    "op9_top_k": topk.ORACLE,
+    "op11_quality_rules": quality_rules.ORACLE,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -83,6 +101,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
