@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -46,10 +46,12 @@ Matrix = tuple[Vector, ...]
 # --- costs ----------------------------------------------------------------------
 
 
+@lru_cache(1 << 16)
 def _join(a: Matrix, b: Matrix) -> Matrix:
     return tuple(tuple(min(NEVER, *(row[k] + b[k][t] for k in STATES)) for t in STATES) for row in a)
 
 
+@lru_cache(1 << 16)
 def _apply(a: Matrix, v: Vector) -> Vector:
     return tuple(min(NEVER, *(row[k] + v[k] for k in STATES)) for row in a)
 

@@ -26,13 +26,16 @@ SLICE = 1 << 18  # bytes worked on at a time
 
 
 def _layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each filled up to whole blocks, and the blocks of each."""
+    """Bytes of all texts, each filled up to whole blocks, and the blocks of each.
+
+    A block of zeros, in no chunk, stands behind each text, so that no window reaches into the next one.
+    """
     blocks = np.array([len(t) // BLOCK + 1 for t in texts])
-    data = np.zeros(int(blocks.sum()) * BLOCK + WIDTH, np.uint8)
+    data = np.zeros(int((blocks + 1).sum()) * BLOCK + WIDTH, np.uint8)
     at = 0
     for text, n in zip(texts, blocks, strict=True):
         data[at : at + len(text)] = np.frombuffer(text, np.uint8)
-        at += int(n) * BLOCK
+        at += (int(n) + 1) * BLOCK
     return data, blocks
 
 
@@ -45,7 +48,7 @@ def _chunks(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first += [base + s for s in starts]
         size += [min(BLOCKS, n - s) for s in starts]
         count.append(len(starts))
-        base += n
+        base += n + 1
     return np.array([first, size]), np.array(count)
 
 
@@ -226,7 +229,9 @@ def held_out() -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row, learnt from the labels of rows that are not held out.
 
-    Rows keep their number, repeated ones and those with null ids too; other columns of ``docs`` are not read.
+    Rows keep their number, repeated ones and those with null ids too; other columns of ``docs`` are not read. A score is
+    that of the whole text alone, whatever else is scored with it. An empty table gives no rows; where a label has no row to
+    learn from, every score is 0.5.
     """
     small_batches(docs.sparkSession)
     score = quality_score(train(docs, labels.where(~held_out())))

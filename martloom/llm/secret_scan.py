@@ -199,8 +199,9 @@ def scan(files: DataFrame, prose: DataFrame, path: str = "path", prose_column: s
     Texts that are null, empty or without candidates give no rows; null and repeated ids are carried along, rows that
     repeat give repeated findings. Only doc_id, text and ``path`` are read.
     """
-    found = materialize(features(candidates(files, path), prose, prose_column), "candidates")
-    marked = label_findings(found)
+    # stored first: features read them twice, and finding them is the dearest scan
+    found = materialize(candidates(files, path), "found")
+    marked = label_findings(materialize(features(found, prose, prose_column), "candidates"))
     model = train(marked)
     if isinstance(model, float):
         scored = marked.withColumn("score", F.lit(model))

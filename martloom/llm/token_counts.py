@@ -8,6 +8,9 @@ remembered by the worker. No pre-token is ever shuffled. The table is a cache: w
 from __future__ import annotations
 
 import json
+import os
+import sys
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from martloom.llm.common import small_batches
 
 FREQUENT = 1 << 16  # entries of the frequent table
-REMEMBERED = 300_000  # entries of a worker's own cache
+REMEMBERED = 16 << 20  # characters of pre-tokens in a worker's own cache
+ENCODED = 1000  # pre-tokens handed to the library at a time: its results are large
 LIMIT = 1024
 
 
@@ -36,6 +40,7 @@ class Encoder:
 
     def _tools(self):
         if self._ready is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
             from tokenizers import Tokenizer
 
             library = Tokenizer.from_str(self.content)
@@ -60,7 +65,38 @@ class Encoder:
         return found, count
 
     def lengths(self, pretokens: list[str]) -> list[int]:
-        return [len(e.ids) for e in self._tools()[0].encode_batch(pretokens, add_special_tokens=False)]
+        encode = self._tools()[0].encode_batch
+        slices = (pretokens[a : a + ENCODED] for a in range(0, len(pretokens), ENCODED))
+        return [len(e.ids) for some in slices for e in encode(some, add_special_tokens=False)]
+
+
+class Worker:
+    """Encoder, lengths and their bound, kept by a worker process for all its tasks."""
+
+    def __init__(self, encoder: Encoder, known: dict[str, int]):
+        self.encoder, self.known = encoder, known
+        self.lengths, self.size = dict(known), 0
+
+    @staticmethod
+    def of_process(key: str, encoder: Encoder, known: Callable[[], dict[str, int]]) -> Worker:
+        # this module travels with each task, so what outlives a task hangs on a module of the interpreter
+        held = sys.__dict__.setdefault("_token_workers", {})
+        if key not in held:
+            held.clear()  # tables of earlier jobs
+            held[key] = Worker(encoder, known())
+        return held[key]
+
+    def tally(self, found: list[tuple[list[str], int]]) -> list[int]:
+        """Tokens of each text, given as pre-tokens and the number of its special strings."""
+        if self.size > REMEMBERED:
+            self.lengths, self.size = dict(self.known), 0
+        out = []
+        for pretokens, special in found:
+            new = list(set(pretokens) - self.lengths.keys())
+            self.lengths.update(zip(new, self.encoder.lengths(new), strict=True))
+            self.size += sum(map(len, new)) + 60 * len(new)
+            out.append(sum(map(self.lengths.__getitem__, pretokens)) + special)
+        return out
 
 
 def frequent_table(docs: DataFrame, encoder: Encoder, sample: int = 2000) -> dict[str, int]:
@@ -81,8 +117,11 @@ def frequent_table(docs: DataFrame, encoder: Encoder, sample: int = 2000) -> dic
 
     ids = docs.select(F.col("doc_id"), F.xxhash64("doc_id", F.lit(6)).alias("h")).where("doc_id is not null").orderBy("h", "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").select("text")
-    counted = rows.coalesce(8).mapInPandas(count, "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
-    words = [r.pretoken for r in counted.orderBy(F.desc("n"), "pretoken").limit(FREQUENT).collect()]
+    # the sampled texts move to few tasks, their counts to the driver: eight lists of FREQUENT entries at most
+    total: Counter[str] = Counter()
+    for r in rows.repartition(8).mapInPandas(count, "pretoken string, n long").collect():
+        total[r.pretoken] += r.n
+    words = [t for t, _ in sorted(total.items(), key=lambda e: (-e[1], e[0]))[:FREQUENT]]
     return dict(zip(words, encoder.lengths(words), strict=True)) if words else {}
 
 
@@ -90,33 +129,13 @@ def token_count(spark: SparkSession, encoder: Encoder, known: dict[str, int]) ->
     """A column function text -> number of tokens; null reads as an empty text."""
     small_batches(spark)
     shared = spark.sparkContext.broadcast(known)
+    key = uuid.uuid4().hex
 
     @F.pandas_udf("long")
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lengths = dict(shared.value)
-
-        def tally(found: list[tuple[list[str], int]]) -> list[int]:
-            wanted = set().union(*(pre for pre, _ in found))
-            if len(lengths) > len(shared.value) + REMEMBERED:
-                lengths.clear()
-                lengths.update(shared.value)
-            new = list(wanted - lengths.keys())
-            if new:
-                lengths.update(zip(new, encoder.lengths(new), strict=True))
-            return [sum(map(lengths.__getitem__, pre)) + special for pre, special in found]
-
+        worker = Worker.of_process(key, encoder, lambda: shared.value)
         for texts in parts:
-            out: list[int] = []
-            held: list[tuple[list[str], int]] = []
-            size = 0
-            for text in texts:
-                held.append(encoder.split(text or ""))
-                size += len(text or "")
-                if size > 1 << 20:
-                    out += tally(held)
-                    held, size = [], 0
-            out += tally(held)
-            yield pd.Series(np.array(out, np.int64))
+            yield pd.Series(np.array([worker.tally([worker.encoder.split(t or "")])[0] for t in texts], np.int64))
 
     return count
 
@@ -124,7 +143,7 @@ def token_count(spark: SparkSession, encoder: Encoder, known: dict[str, int]) ->
 def count_documents(docs: DataFrame, encoder: Encoder) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit for every row; a null text counts as empty, ids may be null or repeat.
 
-    Other columns are not read. Special strings inside a text count as their one token, as the library reads them.
+    Other columns are not read; a very long text is cut and counted whole, by itself; an empty table gives no rows. Special strings inside a text count as their one token, as the library reads them.
     """
     count = token_count(docs.sparkSession, encoder, frequent_table(docs, encoder))
     return docs.select(
