@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RANGES = 32  # most key ranges pushed into one scan
+CELLS = 4096  # cells of the bitmap the ranges are read off
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) -> DataFrame:
     # An aggregate, not a ranking window: copies of a hot key shrink to one row
@@ -52,8 +57,8 @@ def rows_to_insert(
     """Rows of ``source`` whose key ``target`` lacks; the first row of a repeated key wins.
 
     ``within`` names a partition column of the target that is a function of the
-    key and counts years or days; ``ranged`` a key column the target's files are
-    sorted by.  The few partition values and the range of the batch are looked up
+    key and counts years or days; ``ranged`` an integer key column the target's files are
+    sorted by.  The few partition values and the ranges of the batch are looked up
     first, so that other partitions and row groups are not read.  For a ``small``
     batch what is read is cut to the batch's keys before the anti join, so that
     under the broadcast threshold no row of the target is moved; a batch of the
@@ -66,9 +71,10 @@ def rows_to_insert(
         # one row: the years or days of the batch, and its key range
         column = ranged or within
         touched, *bounds = source.agg(F.collect_set(within), F.min(column), F.max(column)).first()
-        target = in_range(target.where(F.col(within).isin(touched)), column, bounds)
+        target = target.where(F.col(within).isin(touched))
+        target = in_ranges(target, ranged, key_ranges(source, ranged, tuple(bounds))) if ranged else in_range(target, within, bounds)
     elif ranged:
-        target = in_range(target, ranged, key_range(source, ranged))
+        target = in_ranges(target, ranged, key_ranges(source, ranged))
     present = target.select(*keys)
     if small:
         present = present.join(fresh.select(*keys), keys, "left_semi")
@@ -86,6 +92,30 @@ def in_range(df: DataFrame, column: str, bounds: tuple) -> DataFrame:
     return df.where(F.lit(False)) if low is None else df.where(F.col(column).between(low, high))
 
 
+def key_ranges(df: DataFrame, column: str, bounds: tuple | None = None) -> list[tuple[int, int]]:
+    """At most ``RANGES`` disjoint ranges that hold every integer key, few others between them.
+
+    Keys become a bitmap of ``CELLS`` cells between smallest and largest key, found by a partial aggregate; the
+    widest gaps between cells that hold one part the ranges. So a few keys far from the others don't
+    stretch what is read over everything between.
+    """
+    low, high = bounds or key_range(df, column)
+    if low is None:
+        return []
+    width = (high - low) // CELLS + 1
+    cell = F.floor((F.col(column) - low) / width)
+    cells = sorted(tuple(r)[1:] for r in df.groupBy(cell.alias("_cell")).agg(F.min(column), F.max(column)).collect() if r[0] is not None)
+    apart = [k for k in range(1, len(cells)) if cells[k][0] - cells[k - 1][1] > 1]
+    gaps = sorted(apart, key=lambda k: cells[k - 1][1] - cells[k][0])[: RANGES - 1]
+    cuts = [0, *sorted(gaps), len(cells)]
+    return [(cells[a][0], cells[b - 1][1]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def in_ranges(df: DataFrame, column: str, ranges: Sequence[tuple]) -> DataFrame:
+    """Rows whose key lies in one of the ranges: literals, so that scans skip by file statistics."""
+    return df.where(reduce(or_, (F.col(column).between(*r) for r in ranges)) if ranges else F.lit(False))
+
+
 def insert_ignore(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -124,3 +154,18 @@ def upsert(
         *(F.col(c) if c in keys else F.col(f"_in_{c}").alias(c) for c in target.columns)
     )
     return updated.unionByName(added)
+
+
+def merged(target: DataFrame, incoming: DataFrame, keys: Sequence[str], update_columns: Sequence[str]) -> DataFrame:
+    """The target after an upsert of ``incoming`` (the target's columns, each key once), with ``_new`` for rows it adds.
+
+    One full outer join: both sides are read and moved once, whatever their size.
+    """
+    keys = list(keys)
+    rest = [c for c in target.columns if c not in keys]
+    arrives, known = F.col("_arrives").isNotNull(), F.col("_known").isNotNull()
+    both = target.withColumn("_known", F.lit(True)).join(
+        incoming.select(*keys, *(F.col(c).alias(f"_in_{c}") for c in rest), F.lit(True).alias("_arrives")), keys, "full_outer"
+    )
+    value = {c: F.when(arrives & (F.lit(c in update_columns) | ~known), F.col(f"_in_{c}")).otherwise(F.col(c)) for c in rest}
+    return both.select(*(value[c].alias(c) if c in value else F.col(c) for c in target.columns), (~known).alias("_new"))

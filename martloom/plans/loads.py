@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
-from martloom.operators.merge import first_per_key, in_range, key_range, rows_to_insert, upsert
+from martloom.operators.merge import first_per_key, in_ranges, key_ranges, rows_to_insert
 from martloom.operators.quality import check, enforce, violations
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
@@ -23,6 +23,8 @@ from martloom.session import materialize, staging
 from martloom.sources.tables import created_between, extract
 
 MARK = T.StructType([T.StructField("high", T.TimestampNTZType())])
+SNAPSHOT_MARK = "snapshot_mark"
+DAY_MARK = T.StructType([T.StructField("date_id", T.LongType()), T.StructField("high", T.TimestampNTZType())])
 DEFAULT_LOW = dt.datetime(2025, 4, 22, 3)  # midnight of the first load day in local time, as UTC
 
 # Facts lie in one folder per order year or snapshot day, both functions of the fact's
@@ -51,7 +53,8 @@ def read_targets(store: TableStore) -> dict[str, DataFrame]:
 def create_targets(store: TableStore) -> None:
     """Empty first versions with the declared schemas."""
     empty = {table: store.spark.createDataFrame([], stored_schema(table)) for table in TARGETS}
-    _together({table: partial(store.replace, table, df) for table, df in empty.items()})
+    with store.as_one():
+        _together({table: partial(store.replace, table, df) for table, df in empty.items()})
 
 
 def _together(jobs: Mapping[str, Callable[[], int]]) -> dict[str, int]:
@@ -82,12 +85,13 @@ def _sales(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFram
     )
 
 
-def save_mark(store: TableStore, high: dt.datetime) -> None:
-    store.replace("load_mark", store.spark.range(1).select(zoneless(high).alias("high")))
+def save_mark(store: TableStore, high: dt.datetime, of: str = "load") -> None:
+    store.replace(f"{of}_mark", store.spark.range(1).select(zoneless(high).alias("high")))
 
 
-def last_mark(store: TableStore) -> dt.datetime | None:
-    row = store.read("load_mark", MARK).first()
+def last_mark(store: TableStore, of: str = "load") -> dt.datetime | None:
+    """The mark of the star load, or of one table kept by a stream of its own."""
+    row = store.read(f"{of}_mark", MARK).first()
     return row["high"] if row else None
 
 
@@ -98,9 +102,9 @@ def load_full(
     high: dt.datetime | None = None,
     strict: bool = False,
 ) -> dict[str, int]:
-    """Write all seven targets anew, dimensions first; returns rows written per table.
+    """Write all seven targets anew, as one version; returns rows written per table.
 
-    ``high`` keeps purchases up to a mark and stores it for the next increment.
+    Readers see the old tables until all new ones are there. ``high`` keeps purchases up to a mark and stores it for the next increment.
     With ``strict`` nothing is written when a row breaks a declared rule.
     """
     snapshot_date = snapshot_date or dt.datetime.now(dt.UTC).date()
@@ -117,23 +121,34 @@ def load_full(
             built = {name: materialize(df, "checked") for name, df in built.items()}
             enforce(check(built, TARGETS))
         writes = {name: partial(store.replace, name, df, **LAYOUT.get(name, {})) for name, df in built.items()}
-        written = _together({name: job for name, job in writes.items() if name not in LAYOUT})
-        written |= _together({name: job for name, job in writes.items() if name in LAYOUT})
-    if high is not None:
-        save_mark(store, high)
+        with store.as_one():
+            written = _together(writes)
+            if store.exists(SNAPSHOT_MARK):  # of days numbered before
+                store.replace(SNAPSHOT_MARK, store.spark.createDataFrame([], DAY_MARK))
+            if high is not None:
+                save_mark(store, high)
     return written
 
 
 def touched_purchases(
     delta: Mapping[str, DataFrame], tables: Mapping[str, DataFrame], high: dt.datetime
 ) -> DataFrame:
-    """Purchases of the slice, and older ones of which a line, a line's price or the status arrived only now."""
+    """Purchases of the slice, and older ones of which a line, a line's price or the status arrived only now.
+
+    Lines are looked through only if prices arrived, and older purchases only if something of theirs did,
+    there within the ranges of their ids.
+    """
     own = delta["purchases"]
-    priced = tables["purchases_items"].join(delta["prices"].select("item_id", "size_id"), ["item_id", "size_id"], "left_semi")
-    arrived = delta["purchases_items"].select("purchase_id").union(delta["purchases_status"].select("purchase_id")).union(priced.select("purchase_id"))
-    late = arrived.distinct().join(own.select(F.col("id").alias("purchase_id")), "purchase_id", "left_anti")
-    older = created_between(tables["purchases"], None, high)
-    return own.unionByName(older.join(late.withColumnRenamed("purchase_id", "id"), "id", "left_semi").select(*own.columns))
+    arrived = delta["purchases_items"].select("purchase_id").union(delta["purchases_status"].select("purchase_id"))
+    priced = materialize(delta["prices"].select("item_id", "size_id").distinct(), "priced")
+    if not priced.isEmpty():
+        arrived = arrived.union(tables["purchases_items"].join(priced, ["item_id", "size_id"], "left_semi").select("purchase_id"))
+    late = materialize(arrived.distinct().join(own.select(F.col("id").alias("purchase_id")), "purchase_id", "left_anti").toDF("id"), "late")
+    ranges = key_ranges(late, "id")
+    if not ranges:
+        return own
+    older = created_between(in_ranges(tables["purchases"], "id", ranges), None, high)
+    return own.unionByName(older.join(late, "id", "left_semi").select(*own.columns))
 
 
 def apply_delta(
@@ -142,6 +157,7 @@ def apply_delta(
     store: TableStore,
     snapshot_date: dt.date,
     strict: bool = False,
+    high: dt.datetime | None = None,
 ) -> dict[str, int]:
     """Bring a slice into the targets. The slice drives; lookups are read in full.
 
@@ -151,7 +167,8 @@ def apply_delta(
     keys already there, so a slice that failed half-way or overlaps is simply run again.
     Pass purchases as a stored frame: it is read several times, and its real size
     decides whether lines and status are joined to it without being shuffled.
-    With ``strict`` a row that breaks a declared rule stops its table from being written.
+    With ``strict`` a row that breaks a declared rule stops its table from being written. With
+    ``high``, the end of the slice, stock that a snapshot of the same day has seen is not read again.
     """
     purchases = delta["purchases"]
     days = read_target(store, "dim_time")
@@ -161,18 +178,20 @@ def apply_delta(
     changes = _dimensions(delta, tables)
     written |= _together({name: partial(_upsert, store, name, df, strict) for name, df in changes.items()})
     date_id = facts.date_id_of(days, snapshot_date)
+    # lines and status of other purchases are kept out by the ranges of ids, exactly and by file statistics
+    ranges = key_ranges(purchases, "id")
+    owned = {**tables} | {n: in_ranges(tables[n], "purchase_id", ranges) for n in ("purchases_items", "purchases_status")}
     written |= _together(
         {
-            "fact_sales": partial(_add_sales, store, purchases, tables, days, strict),
-            "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id, strict),
+            "fact_sales": partial(_add_sales, store, purchases, owned, days, strict),
+            "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id, strict, high),
         }
     )
-    return written | _dropped(purchases, tables, days)
+    return written | _dropped(purchases, owned, days)
 
 
 def _dropped(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame) -> dict[str, int]:
-    bounds = key_range(purchases, "id")
-    lines, status = (in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status"))
+    lines, status = tables["purchases_items"], tables["purchases_status"]
     own = lines.join(purchases.select(F.col("id").alias("purchase_id")), "purchase_id", "left_semi")
     gone = facts.dropped_lines(purchases, status, own, tables["prices"], days).drop("no_purchase").first()
     return {f"dropped_{reason}": n for reason, n in gone.asDict().items()}
@@ -189,19 +208,15 @@ def _upsert(store: TableStore, name: str, changed: DataFrame, strict: bool) -> i
         return 0
     if strict:
         _hold_to_rules(store, name, changed)
-    merged = upsert(read_target(store, name), changed, TARGETS[name].key, UPSERT_COLUMNS[name])
-    return store.replace(name, merged)
+    return store.upsert(name, changed, TARGETS[name].key, UPSERT_COLUMNS[name], TARGETS[name].struct)
 
 
 def _add_sales(
     store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame, strict: bool
 ) -> int:
-    # lines and status of other purchases are kept out by the range of ids, exactly and by file statistics
-    bounds = key_range(purchases, "id")
-    owned = {n: in_range(tables[n], "purchase_id", bounds) for n in ("purchases_items", "purchases_status")}
     # the batch is looked at several times (its years, its keys, its rows): join and group it once
     key = TARGETS["fact_sales"].key
-    joined = _sales(purchases, {**tables, **owned}, days, True)
+    joined = _sales(purchases, tables, days, True)
     sales = materialize(joined if strict else first_per_key(joined, key), "sales-batch")
     if strict:
         _hold_to_rules(store, "fact_sales", sales)
@@ -210,13 +225,26 @@ def _add_sales(
     return store.append("fact_sales", fresh, **LAYOUT["fact_sales"])
 
 
-def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int, strict: bool) -> int:
-    snapshot = facts.fact_inventory(inventory, date_id)
+def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int, strict: bool, high: dt.datetime | None = None) -> int:
+    """Add the stock to the day's snapshot; after the day's first load only rows created since the last one are read."""
+    marks = store.read(SNAPSHOT_MARK, DAY_MARK).where(F.col("date_id") == date_id) if high else None
+    seen = marks.agg(F.max("high")).first()[0] if marks is not None else None
+    snapshot = facts.fact_inventory(inventory if seen is None else created_between(inventory, seen, None), date_id)
     if strict:
         _hold_to_rules(store, "fact_inventory", snapshot)
     same_day = read_target(store, "fact_inventory").where(F.col("date_id") == date_id)
-    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key, small=False)
-    return store.append("fact_inventory", fresh, **LAYOUT["fact_inventory"])
+    # a whole stock is of the day's own size, what came since is small beside it
+    fresh = rows_to_insert(same_day, snapshot, TARGETS["fact_inventory"].key, small=seen is not None)
+    written = store.append("fact_inventory", fresh, **LAYOUT["fact_inventory"])
+    if high is not None and (seen is None or high > seen):
+        _mark_snapshot(store, date_id, high)
+    return written
+
+
+def _mark_snapshot(store: TableStore, date_id: int, high: dt.datetime) -> None:
+    """Keep up to which creation time the day's snapshot has seen the stock; one row per day."""
+    mark = store.spark.range(1).select(F.lit(date_id).cast("bigint").alias("date_id"), zoneless(high).alias("high"))
+    store.append(SNAPSHOT_MARK, mark.coalesce(1))
 
 
 def load_incremental(
@@ -228,7 +256,7 @@ def load_incremental(
     look_back: dt.timedelta = dt.timedelta(0),
     strict: bool = False,
 ) -> dict[str, int]:
-    """Load rows created in ``(mark, high]`` and move the mark to ``high`` once all is written.
+    """Load rows created in ``(mark, high]`` and move the mark to ``high``; readers see all of it at once.
 
     ``low`` stands in while no mark is stored. Raises NoNewRecords on an empty slice.
     """
@@ -238,6 +266,7 @@ def load_incremental(
         delta["purchases"] = materialize(delta["purchases"], "delta")
         require_rows(delta["purchases"])
         delta["purchases"] = materialize(touched_purchases(delta, tables, high), "touched")
-        written = apply_delta(delta, tables, store, snapshot_date or high.date(), strict)
-    save_mark(store, high)
+        with store.as_one():
+            written = apply_delta(delta, tables, store, snapshot_date or high.date(), strict, high)
+            save_mark(store, high)
     return written

@@ -45,11 +45,36 @@ STATUSES = ("Pending", "Sent", "Delivered", "Canceled")
 PHONE_TYPES = ("Residential", "Mobile", "Commercial")
 NAME_PARTICLES = ("da", "de", "dos", "das")
 ZIP_PATTERN = r"^[0-9]{5}(-?[0-9]{3})?\z"
-PHONE_PATTERN = (
-    r"^\(?(1[1-9]|2[1-478]|3[1-8]|4[1-9]|5[13-5]|6[1-9]|7[13-579]|8[1-9]|9[1-9])\)?"
-    r"[-\s]?\d{4,5}[-\s]?\d{4}\z"
+# area codes; a comma is none (decision D10)
+AREA_CODES = (
+    "11 12 13 14 15 16 17 18 19 21 22 23 24 27 28 31 32 33 34 35 36 37 38 41 42 43 44 45 46 47 48 49 51 53 54 55 "
+    "61 62 63 64 65 66 67 68 69 71 73 74 75 77 79 81 82 83 84 85 86 87 88 89 91 92 93 94 95 96 97 98 99"
 )
+PHONE_PATTERN = rf"^\(?({AREA_CODES.replace(' ', '|')})\)?[-\s]?\d{{4,5}}[-\s]?\d{{4}}\z"
 LOCAL_ZONE = "America/Sao_Paulo"
+# Tables an incremental load slices by created_at; the other four have no part in a target.
+SLICED_SOURCES = (
+    "customers",
+    "items",
+    "sizes",
+    "stores",
+    "categories",
+    "purchases",
+    "purchases_status",
+    "purchases_items",
+    "prices",
+    "items_sizes",
+    "inventory",
+    "stores_addresses",
+    "addresses",
+)
+# Columns an upsert may change on a row that is already there.
+UPSERT_COLUMNS = {
+    "dim_customers": ("full_name", "email", "created_at"),
+    "dim_items": ("name", "category_name"),
+    "dim_sizes": ("size",),
+    "dim_stores": ("name", "city", "state", "zip_code", "region"),
+}
 # -----------------------------------------------------------------------------
 
 
@@ -226,23 +251,6 @@ SOURCES = {
     )
 }
 
-# Tables an incremental load slices by created_at; the other four have no part in a target.
-SLICED_SOURCES = (
-    "customers",
-    "items",
-    "sizes",
-    "stores",
-    "categories",
-    "purchases",
-    "purchases_status",
-    "purchases_items",
-    "prices",
-    "items_sizes",
-    "inventory",
-    "stores_addresses",
-    "addresses",
-)
-
 # In load order: dimensions before the facts that refer to them.
 TARGETS = {
     t.name: t
@@ -326,11 +334,3 @@ TARGETS = {
         ),
     )
 }
-
-# Columns an upsert may change on a row that is already there.
-UPSERT_COLUMNS = {
-    "dim_customers": ("full_name", "email", "created_at"),
-    "dim_items": ("name", "category_name"),
-    "dim_sizes": ("size",),
-    "dim_stores": ("name", "city", "state", "zip_code", "region"),
-}

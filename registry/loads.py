@@ -204,6 +204,31 @@ def inc_late_dates(t: Inputs) -> DataFrame:
     )
 
 
+_SNAPSHOT_HIGH = HIGH - dt.timedelta(days=1)
+
+
+@query(
+    "inc_snapshot_by_change",
+    f"""SELECT i.item_id, i.size_id, i.store_id, i.quantity + CASE WHEN i.item_id % 5 = 0 THEN 1000 ELSE 0 END AS quantity_in_stock
+FROM inventory i""",
+)
+def inc_snapshot_by_change(t: Inputs) -> DataFrame:
+    """A day's stock loaded twice: every fifth item arrives between the loads, and of the others quantities change unseen.
+
+    The second load reads only rows created since the first, so the day keeps what it first saw.
+    """
+    store = TableStore(t.spark, work_path(t.spark, "inc-snapshot"))
+    tables = t.bundle(*SLICED_SOURCES)
+    late = F.col("item_id") % 5 == 0
+    stock = tables["inventory"].withColumn("created_at", F.when(late, zoneless(HIGH)).otherwise(zoneless(LOW)))
+    loads.load_full({**tables, "inventory": stock.limit(0)}, store, FIRST_SNAPSHOT, high=LOW)
+    loads.load_incremental({**tables, "inventory": stock.where(~late)}, store, _SNAPSHOT_HIGH, SNAPSHOT)
+    changed = stock.withColumn("quantity", (F.col("quantity") + 1000).cast("bigint"))
+    loads.load_incremental({**tables, "inventory": changed}, store, HIGH, SNAPSHOT, look_back=HIGH - LOW)
+    found = loads.read_target(store, "fact_inventory")
+    return found.select("item_id", "size_id", "store_id", "quantity_in_stock")
+
+
 # --- stock --------------------------------------------------------------------
 
 _KEYS = ["item_id", "size_id", "store_id"]

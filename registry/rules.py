@@ -385,6 +385,28 @@ def dq_split_rows(t: Inputs) -> DataFrame:
     )
 
 
+_REPEATED_STATUS = """
+given AS (SELECT l_orderkey AS purchase_id, CASE l_returnflag WHEN 'A' THEN 'Sent' WHEN 'N' THEN 'Pending' ELSE 'Lost' END AS status,
+  CAST(l_shipdate AS DATE) AS day FROM lineitem)"""
+
+
+@query(
+    "dq_split_duplicates",
+    f"""WITH {_REPEATED_STATUS},
+ranked AS (SELECT *, status = 'Lost' AS wrong, row_number() OVER (PARTITION BY purchase_id, status = 'Lost' ORDER BY status, day) AS n FROM given)
+SELECT purchase_id, status, day, NOT wrong AND n = 1 AS good, CASE WHEN wrong THEN 'domain:status' WHEN n > 1 THEN 'primary_key' ELSE '' END AS broken_rules
+FROM ranked""",
+)
+def dq_split_duplicates(t: Inputs) -> DataFrame:
+    """The state of each line of an order stands for the order's state, so most orders have several."""
+    state = F.when(F.col("l_returnflag") == "A", "Sent").when(F.col("l_returnflag") == "N", "Pending").otherwise("Lost")
+    rows = t.raw("lineitem").select(F.col("l_orderkey").alias("purchase_id"), state.alias("status"), F.to_date("l_shipdate").alias("created_at"))
+    good, rejected = dq.split(rows, SOURCES["purchases_status"], unique=True)
+    both = good.withColumn("broken_rules", F.array().cast("array<string>")).unionByName(rejected)
+    rules = F.array_join("broken_rules", ",")
+    return both.select("purchase_id", "status", F.col("created_at").alias("day"), (rules == "").alias("good"), rules.alias("broken_rules"))
+
+
 def _all_rules_sql(table: Table) -> list[str]:
     name, key = table.name, " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in table.key)
     broken = [(f"not_null:{c.name}", c.name, f"{c.name} IS NULL") for c in table.columns if not c.nullable]

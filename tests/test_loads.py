@@ -231,3 +231,67 @@ def test_late_price_reaches_the_fact(spark, toy):
     loads.load_full(later, whole, D(2025, 4, 24))
     dated = lambda s: loads.read_target(s, "fact_sales").join(loads.read_target(s, "dim_time").select("date_id", "date"), "date_id").drop("date_id")
     assert first < loads.read_target(whole, "fact_sales").count() and rows(dated(parts)) == rows(dated(whole))
+
+
+def test_one_late_id_does_not_stretch_what_is_read(spark, toy):
+    # the touched purchases are the last hundred and one of the first: of 100,000 lines few are read
+    from martloom.operators.merge import in_ranges, key_ranges
+
+    path = work_path(spark, "lines")
+    lines = spark.range(100_000).select(F.col("id").alias("purchase_id"), F.expr("uuid()").alias("v")).repartitionByRange(20, "purchase_id")
+    lines.sortWithinPartitions("purchase_id").write.option("parquet.block.size", 64 << 10).parquet(path)
+    touched = spark.range(99_900, 100_000).union(spark.range(3, 4)).toDF("id")
+    ranges = key_ranges(touched, "id")
+    assert len(ranges) == 2
+    found = in_ranges(spark.read.parquet(path), "purchase_id", ranges)
+    assert found.count() == 101
+    found.write.format("noop").mode("overwrite").save()
+    assert scanned_rows(found) < 10_000
+    one = spark.read.parquet(path).where(F.col("purchase_id").between(3, 99_999))
+    one.write.format("noop").mode("overwrite").save()
+    assert scanned_rows(one) > 90_000
+
+
+def scanned_rows(df):
+    """Rows the file scan of an executed frame gave out, by its own metric."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    leaves = node.collectLeaves()
+    total = 0
+    for k in range(leaves.size()):
+        total += leaves.apply(k).metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_a_snapshot_of_a_day_already_loaded_reads_new_rows_only(spark, toy):
+    store = new_store(spark)
+    loads.load_full(toy, store, DAY1, high=MARK)
+    loads.load_incremental(toy, store, HIGH, DAY2)
+    before = rows(loads.read_target(store, "fact_inventory").where("date_id = 6"))
+    more = toy["inventory"].withColumn("quantity", F.col("quantity") + 5).unionByName(
+        spark.createDataFrame([(3, 1, 2, 40, dt.datetime(2025, 4, 24, 5))], toy["inventory"].schema)
+    )
+    written = loads.load_incremental({**toy, "inventory": more}, store, HIGH + dt.timedelta(days=1), DAY2, look_back=dt.timedelta(days=9))
+    assert written["fact_inventory"] == 1
+    assert rows(loads.read_target(store, "fact_inventory").where("date_id = 6")) == sorted([*before, (3, 1, 2, 6, 40)])
+    loads.load_full(toy, store, DAY2)  # numbers days anew: what was seen no longer counts
+    assert loads.last_mark(store) is not None and store.read(loads.SNAPSHOT_MARK, loads.DAY_MARK).count() == 0
+
+
+def test_readers_never_see_new_dimensions_with_old_facts(spark, toy):
+    store = new_store(spark)
+    loads.load_full(toy, store, DAY1, high=MARK)
+    reader = TableStore(spark, store.root)
+    seen = []
+    for name in ("append", "upsert", "replace"):
+        write = getattr(store, name)
+
+        def watched(table, *args, _write=write, **kw):
+            rows_written = _write(table, *args, **kw)
+            seen.append((loads.read_target(reader, "dim_time").count(), loads.read_target(reader, "fact_sales").count()))
+            return rows_written
+
+        setattr(store, name, watched)
+    loads.load_incremental(toy, store, HIGH, DAY2)
+    assert len(seen) >= 4 and set(seen) == {(3, 3)}
+    assert loads.read_target(reader, "dim_time").count() == 6 and loads.read_target(reader, "fact_sales").count() == 6

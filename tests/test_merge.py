@@ -3,7 +3,18 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from martloom.operators.keys import dense_ids, max_key, pair_by_position
-from martloom.operators.merge import difference, first_per_key, insert_ignore, last_per_key, rows_to_insert, upsert
+from martloom.operators.merge import (
+    RANGES,
+    difference,
+    first_per_key,
+    in_ranges,
+    insert_ignore,
+    key_ranges,
+    last_per_key,
+    merged,
+    rows_to_insert,
+    upsert,
+)
 from martloom.operators.store import TableStore
 from martloom.session import materialize, staging, work_path
 
@@ -140,3 +151,92 @@ def test_small_batch_moves_no_target_row(spark):
         assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     assert upsert(target, batch, ["id"], ["v"]).where("v = 'y'").count() == 20
     assert rows_to_insert(target, batch, ["id"], ranged="id").count() == 10
+
+
+def test_one_pass_upsert_agrees_with_upsert(spark):
+    target = frame(spark, [(1, "a1", None), (2, "a2", "b2"), (3, None, "b3")])
+    source = frame(spark, [(1, None, "y"), (3, "x", None), (4, None, None), (5, "a5", "b5")])
+    found = merged(target, source, ["k"], ["a"])
+    assert rows(found.drop("_new")) == rows(upsert(target, source, ["k"], ["a"]))
+    assert rows(found.where("_new"), "k") == [(4,), (5,)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_key_ranges_leave_out_the_widest_gaps(spark):
+    ids = [*range(100, 200), 5, 10**12, *range(5_000_000, 5_000_050)]
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long")
+    ranges = key_ranges(df, "id")
+    assert all(any(a <= i <= b for a, b in ranges) for i in ids) and len(ranges) <= RANGES
+    assert ranges[-1] == (10**12, 10**12)
+    scattered = spark.range(0, 10**9, 999_983).toDF("id")
+    ranges = key_ranges(scattered, "id")
+    assert len(ranges) == RANGES and in_ranges(scattered, "id", ranges).count() == scattered.count()
+    assert key_ranges(df.limit(0), "id") == [] and in_ranges(df, "id", []).count() == 0
+
+
+def test_a_killed_append_leaves_readers_on_the_old_rows(spark):
+    store = TableStore(spark, work_path(spark, "store"))
+    schema = spark.range(0).schema
+    store.replace("t", spark.range(5))
+    failing = spark.range(100, 2100, numPartitions=20).select(F.expr("if(id = 2099, cast(raise_error('killed') as bigint), id)").alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        store.append("t", failing)
+    other = TableStore(spark, store.root)  # a reader that starts now
+    assert other.read("t", schema).count() == 5
+    assert store.append("t", spark.range(5, 8)) == 3 and other.read("t", schema).count() == 8
+    assert store.append("t", spark.range(0)) == 0 and other.read("t", schema).count() == 8
+
+
+def test_writes_of_several_tables_count_from_one_moment_on(spark):
+    store, schema = TableStore(spark, work_path(spark, "store")), spark.range(0).schema
+    store.replace("a", spark.range(1))
+    reader = TableStore(spark, store.root)
+    with store.as_one():
+        store.append("a", spark.range(1, 3))
+        assert reader.read("a", schema).count() == 1 and store.read("a", schema).count() == 3
+        store.replace("b", spark.range(7))
+        assert not reader.exists("b") and store.exists("b")
+    assert reader.read("a", schema).count() == 3 and reader.read("b", schema).count() == 7
+    with pytest.raises(RuntimeError), store.as_one():
+        store.replace("a", spark.range(50))
+        raise RuntimeError
+    assert reader.read("a", schema).count() == 3 and store.read("a", schema).count() == 3
+
+
+def test_many_appends_of_a_partitioned_table(spark, monkeypatch):
+    from martloom.operators import store as module
+
+    monkeypatch.setattr(module, "MAX_PARTS", 6)
+    store = TableStore(spark, work_path(spark, "store"))
+    years = lambda low, high: spark.range(low, high).select("id", (F.col("id") % 3 + 2000).cast("int").alias("year"))
+    schema = years(0, 1).schema
+    store.replace("t", years(0, 0), ["year"])
+    for n in range(15):
+        store.append("t", years(10 * n, 10 * n + 10), ["year"], ["id"])
+    assert rows(store.read("t", schema)) == rows(years(0, 150))
+    assert len(store._tables()["t"]["parts"]) <= 6
+    plan = store.read("t", schema).where("year = 2001")._jdf.queryExecution().executedPlan().toString()
+    assert "= 2001)" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_upsert_writes_only_the_buckets_it_touches(spark):
+    import os
+
+    store = TableStore(spark, work_path(spark, "store"), rows_per_bucket=100, keep=1)
+    frame_of = lambda low, high, v: spark.range(low, high).select(F.col("id").alias("k"), F.lit(v).alias("a"), F.lit(v).alias("b"))
+    schema = frame_of(0, 1, "x").schema
+    store.replace("t", frame_of(0, 1000, "x"))
+    assert store.upsert("t", frame_of(990, 1010, "y"), ["k"], ["a"], schema) == 1010  # ten times over the size: buckets
+    before = {p: os.path.getmtime(f"{store.root}/t/{p}".removeprefix("file:")) for p in store._tables()["t"]["parts"]}
+    assert len(before) > 8
+    batch = frame_of(5, 6, "z").unionByName(frame_of(2000, 2001, "z"))
+    assert store.upsert("t", batch, ["k"], ["a"], schema) == 1011
+    after = store._tables()["t"]["parts"]
+    kept = [p for p in after if p in before]
+    assert len(after) - len(kept) <= 2 and len(kept) >= len(before) - 2
+    assert all(os.path.getmtime(f"{store.root}/t/{p}".removeprefix("file:")) == before[p] for p in kept)
+    got = {r.k: (r.a, r.b) for r in store.read("t", schema).collect()}
+    want = {k: ("x", "x") for k in range(990)} | {k: ("y", "x") for k in range(990, 1000)} | {k: ("y", "y") for k in range(1000, 1010)}
+    assert got == want | {5: ("z", "x"), 2000: ("z", "z")}
+    assert store.upsert("new", batch, ["k"], ["a"], schema) == 2  # a table that isn't there yet

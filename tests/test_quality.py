@@ -6,6 +6,7 @@ from conftest import OLD, rows
 from pyspark.sql import functions as F
 
 from martloom.operators import quality as dq
+from martloom.session import work_path
 from martloom.schema import SOURCES, TARGETS
 
 # per rule: table, a row that passes and one that breaks it
@@ -107,3 +108,40 @@ def test_catalog_domain(spark, toy):
     assert rows(dq.outside_domain(toy["sizes"], SOURCES["sizes"], "size", allowed), "rule", "value") == [
         ("catalog_domain:size", "P")
     ]
+
+
+def test_split_of_repeated_keys(spark):
+    status = SOURCES["purchases_status"]
+    schema = "purchase_id long, status string, created_at timestamp_ntz, extra int"
+    day = lambda n: dt.datetime(2025, 1, n)
+    data = [(1, "Sent", day(2), 1), (1, "Sent", day(1), 2), (1, "Nowhere", day(1), 3), (2, "Sent", day(1), 4), (2, "Sent", day(1), 4)]
+    data += [(3, "Sent", day(1), 5), (None, "Sent", day(1), 6), (None, "Sent", day(1), 6)] + [(9, "Sent", day(5), k) for k in range(3000)]
+    good, rejected = dq.split(spark.createDataFrame(data, schema), status, unique=True)
+    assert rows(good, "purchase_id", "extra") == [(1, 2), (2, 4), (3, 5), (9, 0)]
+    broken = rows(rejected.where("purchase_id <> 9 or purchase_id is null"), "purchase_id", "extra", "broken_rules")
+    null = ["not_null:purchase_id"]
+    assert broken == [(1, 1, ["primary_key"]), (1, 3, ["domain:status"]), (2, 4, ["primary_key"]), (None, 6, null), (None, 6, null)]
+    assert rejected.where("purchase_id = 9").count() == 2999
+    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    same, none = dq.split(spark.createDataFrame(data[5:6], schema), status, unique=True)
+    assert same.count() == 1 and none.count() == 0
+
+
+def test_all_rules_of_a_table_take_two_scans(spark, toy):
+    path = {n: work_path(spark, n) for n in ("purchases_items", "purchases", "items", "sizes", "items_sizes")}
+    for n, p in path.items():
+        toy[n].write.parquet(p)
+    tables = {n: spark.read.parquet(p) for n, p in path.items()}
+    twice = tables["purchases_items"].unionByName(tables["purchases_items"].where("purchase_id = 1"))
+    found = dq.violations(tables["purchases_items"], SOURCES["purchases_items"], tables)
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "purchases_items" in x]
+    assert 0 < len(scans) <= 2
+    lost = {**tables, "sizes": tables["sizes"].where("id > 1"), "items_sizes": tables["items_sizes"].where("item_id <> 3")}
+    got = dq.violations(twice, SOURCES["purchases_items"], lost)
+    apart = [dq.duplicate_keys(twice, SOURCES["purchases_items"])]
+    apart += [dq.orphans(twice, SOURCES["purchases_items"], r, lost[r.parent]) for r in SOURCES["purchases_items"].references]
+    want = [r for df in apart for r in rows(df)]
+    assert rows(got) == sorted(want, key=repr) and len(want) == 4

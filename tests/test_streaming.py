@@ -113,3 +113,50 @@ def test_allocation_from_an_empty_stock(spark):
     stream = read_files(spark, source, lines.schema)
     streams.stream_allocate(stream, root, stock.schema, ["k"], ["seq"], f"{root}/c").awaitTermination()
     assert rows(streams.read_allocated(spark, root, lines.schema), "seq", "accepted") == [(1, False)]
+
+
+def test_streams_under_one_root_keep_their_own_marks_and_read_few_folders(spark):
+    root, source = work_path(spark, "stream"), work_path(spark, "rows")
+    rows_of = lambda low, high, day: spark.range(low, high).select("id", F.lit(dt.datetime(2025, 1, day)).cast("timestamp_ntz").alias("ts"))
+    for n in range(4):
+        rows_of(1000 * n, 1000 * n + 100, 5).coalesce(1).write.mode("append").parquet(source)
+    rows_of(10, 20, 9).coalesce(1).write.parquet(f"{source}-b")
+    schema = rows_of(0, 1, 1).schema
+    for table, path in (("a", source), ("b", f"{source}-b")):
+        stream = read_files(spark, path, schema, files_per_batch=1)
+        streams.stream_insert_ignore(stream, root, table, ["id"], "ts", f"{root}/c-{table}").awaitTermination()
+    store = TableStore(spark, root)
+    assert loads.last_mark(store, "a") == dt.datetime(2025, 1, 5) and loads.last_mark(store, "b") == dt.datetime(2025, 1, 9)
+    assert store.read("a", schema).count() == 400 and len(store._tables()["a"]["parts"]) == 4
+    near = store.read_near("a", schema, "id", [(2050, 2060)])
+    assert near.count() == 11 and len({f.rsplit("/", 2)[1] for f in near.inputFiles()}) == 1
+    assert store.read_near("a", schema, "id", [(200, 300)]).count() == 0
+
+
+def test_what_a_batch_reads_does_not_grow_with_the_batches_before(spark, monkeypatch):
+    monkeypatch.setattr(streams, "COMPACT_EVERY", 3)
+    root, source = work_path(spark, "stream"), work_path(spark, "lines")
+    lines = spark.range(400).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"), (F.col("id") % 5 + 1).cast("int").alias("quantity"))
+    for n in range(10):
+        lines.where(f"seq div 40 = {n}").coalesce(1).write.mode("append").parquet(source)
+    stock = spark.createDataFrame([(0, 90), (1, 300), (2, 10_000)], "k long, quantity long")
+    streams.open_stock(TableStore(spark, root), stock)
+    read = []
+    given = streams._moved
+
+    def counted(*args):
+        moved = given(*args)
+        read.append(len({f.rsplit("/", 1)[0] for f in moved.inputFiles()}))
+        return moved
+
+    monkeypatch.setattr(streams, "_moved", counted)
+    stream = read_files(spark, source, lines.schema, files_per_batch=1)
+    streams.stream_allocate(stream, root, stock.schema, ["k"], ["seq"], f"{root}/checkpoint").awaitTermination()
+    assert len(read) == 10 and max(read) <= 4
+    judged = streams.read_allocated(spark, root, lines.schema)
+    assert rows(judged, "k", "seq", "accepted") == rows(allocate(lines, stock, ["k"], ["seq"]), "k", "seq", "accepted")
+    taken = judged.where("accepted").groupBy("k").agg(F.sum("quantity").alias("t"))
+    left = stock.join(taken, "k").select("k", F.col("quantity") - F.col("t"))
+    assert rows(streams.stock_left(spark, root, stock.schema, ["k"])) == rows(left)
+    assert streams.compact_ledger(spark, root, stock.schema, ["k"]) == 1 and streams.compact_ledger(spark, root, stock.schema, ["k"]) == 0
+    assert rows(streams.stock_left(spark, root, stock.schema, ["k"])) == rows(left)
