@@ -130,16 +130,19 @@ def sample_of(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
     return materialize(docs.sample(min(1.0, size / max(rows, 1)), 7).repartition(8), "rules-sample")
 
 
-def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, known: Mapping[str, str] | None = None) -> DataFrame:
+def judge(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, known: Mapping[str, str] | None = None, sample: DataFrame | None = None
+) -> DataFrame:
     """``docs`` with ``rejected_by``, the first rule of the cascade that rejects the text, null for texts to keep.
 
     Rows are judged by their whole ``text`` alone: null and empty texts fail for their few words, repeated
     rows and null ids are judged like any other, other columns pass through (``rejected_by`` is replaced).
-    Of an empty table nothing is measured and the rules keep their order. Which rule is named depends on
+    ``sample``: texts and known columns to measure the rules on, if not some of ``docs``. Of an empty table nothing is measured and the rules keep their order. Which rule is named depends on
     the measured order; whether one is named does not.
     """
     known = known or {}
-    sample = sample_of(docs.select("text", *known.values()))
+    if sample is None:
+        sample = sample_of(docs.select("text", *known.values()))
     return docs.withColumn("rejected_by", cascade(order(sample, rules, known), known))
 
 
@@ -150,8 +153,10 @@ def keep(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, the base measures, ``base_failed`` and ``kept`` of every row; see ``judge``."""
-    base = measured(docs.select("doc_id", "text"))
-    judged = judge(base, RULES, {m: m for m in BASE})
+    own = docs.select("doc_id", "text")
+    # measured behind the sampling, or every text would be measured to order the rules
+    sample = materialize(measured(sample_of(own)), "rules-sample")
+    judged = judge(measured(own), RULES, {m: m for m in BASE}, sample)
     failed = F.expr(" or ".join(f"({r.fails})" for r in BASE_RULES))
     return judged.select("doc_id", *BASE, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
