@@ -92,7 +92,7 @@ class Worker:
             self.lengths, self.size = dict(self.known), 0
         out = []
         for pretokens, special in found:
-            new = list(set(pretokens) - self.lengths.keys())
+            new = [t for t in set(pretokens) if t not in self.lengths]
             self.lengths.update(zip(new, self.encoder.lengths(new), strict=True))
             self.size += sum(map(len, new)) + 60 * len(new)
             out.append(sum(map(self.lengths.__getitem__, pretokens)) + special)
