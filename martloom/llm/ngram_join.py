@@ -166,7 +166,9 @@ def links(sets: DataFrame) -> DataFrame:
     bounds; pairs inside a component can't change it and aren't made.
     """
     tokens = sets.select("doc_id", F.explode("tokens").alias("token"))
-    spread = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")  # counted before the shuffle; the join splits hot tokens
+    # counts are stored before they are joined back: then both sides of each join are plain exchanges, and adaptive execution
+    # splits a hot token; beside an aggregate of the same stage it would not
+    spread = materialize(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "spread")
     own = (
         tokens.join(spread, "token")
         .groupBy("doc_id")
@@ -181,7 +183,7 @@ def links(sets: DataFrame) -> DataFrame:
         .select("doc_id", "n", "c", "pos", F.col("t.token").alias("token")),
         "entries",
     )
-    pivot = entries.groupBy("token").agg(F.min(F.struct(F.expr("n - c").alias("u"), "doc_id", "n", "c", "pos")).alias("p")).alias("p")
+    pivot = materialize(entries.groupBy("token").agg(F.min(F.struct(F.expr("n - c").alias("u"), "doc_id", "n", "c", "pos")).alias("p")), "pivots")
     stars = materialize(
         entries.alias("e")
         .join(pivot.select("token", "p.*").alias("p"), "token")
@@ -196,13 +198,14 @@ def links(sets: DataFrame) -> DataFrame:
         entries.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")),
         "placed",
     )
-    torn = (
+    torn = materialize(
         placed.groupBy("token", "label")
         .agg(F.count("*").alias("k"))
         .groupBy("token")
         .agg(F.max(F.struct("k", "label")).getField("label").alias("top"), F.count("*").alias("parts"))
         .where("parts > 1")
-        .select("token", "top")
+        .select("token", "top"),
+        "torn",
     )
     open_keys = materialize(placed.join(torn, "token"), "open")
     rest = (
@@ -237,7 +240,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = docs.where("doc_id is not null")
     index = materialize(known.mapInArrow(_index(frequent), "doc_id long, least int, keys array<long>"), "index")
     keys = index.select("doc_id", "least", F.explode("keys").alias("key"))
-    common = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key")
+    common = materialize(keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key"), "common")
     meeting = (
         keys.join(common, "key")
         .groupBy("doc_id")

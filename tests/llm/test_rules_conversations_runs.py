@@ -16,6 +16,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from martloom.llm import conversations, periodic_runs, quality, quality_rules, queries, token_counts
+from martloom.session import materialize, prepare, work_path
 
 LONG = "lorem ipsum dolor sit amet consectetur " * 40_000
 EDGE = [
@@ -312,6 +313,38 @@ def test_reported_runs_agree_with_brute_force(spark):
     assert periodic_runs.report(documents(spark, [])).collect() == []
 
 
+# --- hot tokens of the n-gram join ------------------------------------------------------
+
+
+def test_joins_with_a_hot_token_are_split(spark):
+    """A third of all rows on one token: the join with the tokens' own counts splits it."""
+    prepare(spark)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    held = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        n = 90_000
+        path = work_path(spark, "hot-sets")
+        token = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.xxhash64(F.col("id") - F.col("id") % 6))
+        spark.range(n).select(F.col("id").alias("doc_id"), F.array(token.cast("long")).alias("tokens")).write.parquet(path)
+        tokens = spark.read.parquet(path).select("doc_id", F.explode("tokens").alias("token"))
+        counts = materialize(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "spread")
+        joined = tokens.join(counts, "token")
+        assert len(joined.collect()) == n
+        final = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "skew=true" in final
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # --- scores and counts of whole texts ----------------------------------------------------
 
 
