@@ -140,13 +140,19 @@ def _vectors(words: list[str], codes_of: np.ndarray, marks: np.ndarray) -> np.nd
 
 
 def train_machine(good: list[str], bad: dict[str, float], landmarks: int) -> tuple[np.ndarray, float]:
-    """Weights by subsequence and bias of a squared-hinge machine; ``bad`` words weigh as given, both sides weigh the same."""
-    names = list(bad)
-    words = [_parts(w)[0] for w in names + good]
-    sign = np.r_[np.ones(len(bad)), -np.ones(len(good))]
+    """Weights by subsequence and bias of a squared-hinge machine; ``bad`` words weigh as given, both sides weigh the same.
+
+    A long word is learnt whole, by its overlapping parts, which share its weight.
+    """
+    parts = [_parts(w) for w in [*bad, *good]]
+    words = [p for some in parts for p in some]
+    lengths = np.array([len(some) for some in parts])
+    sign = np.repeat(np.r_[np.ones(len(bad)), -np.ones(len(good))], lengths)
     share = np.r_[np.array(list(bad.values())) / sum(bad.values()), np.full(len(good), 1 / max(1, len(good)))]
-    pick = words[: min(len(bad), landmarks // 2)]
-    pick = list(dict.fromkeys(pick + words[len(bad) : len(bad) + landmarks - len(pick)]))
+    share = np.repeat(share / lengths, lengths)
+    n_bad = int(lengths[: len(bad)].sum())
+    pick = words[: min(n_bad, landmarks // 2)]
+    pick = list(dict.fromkeys(pick + words[n_bad : n_bad + landmarks - len(pick)]))
     found = list(features(pick))
     codes_of = np.unique(np.concatenate([codes for _, codes, _ in found]))
     marks = np.zeros((len(codes_of), len(pick)), np.float32)
@@ -235,6 +241,10 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+SURE, FOUND, DOUBTED = 1500, 1500, 20_000  # words of toxic documents a machine is trained on, found by a round, looked through
+USUAL, OTHERS = 1000, 6000  # words of clean documents, the most frequent and by hash
+
+
 def _worst_rows(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
@@ -255,6 +265,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
     A word counts once for each different word beside it, so copies of one text don't add up. Sure insults stand in more places
     of toxic documents than chance allows and in no clean document; then words of toxic documents that the machine finds alike, and the
     worst words of clean documents, join in two further rounds. None if a label has no document.
+
+    What the machine learns from is bounded: ``sample`` documents of each label, of their words at most SURE and FOUND
+    insults, DOUBTED words looked through for those, USUAL frequent and OTHERS further words of clean documents.
     """
     small_batches(docs.sparkSession)
     marked = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("label")).distinct()
@@ -276,13 +289,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
     chance = max(3, int(np.ceil(np.log(words * 20) / -np.log(base))) if base < 1 else 3)  # expected by chance in a twentieth of a word
     hashed = F.xxhash64("unit")
     only = counts.where("good = 0")
-    sure = only.where(F.col("bad") >= chance).orderBy(F.desc("bad"), "unit").limit(1500).toPandas()
+    sure = only.where(F.col("bad") >= chance).orderBy(F.desc("bad"), "unit").limit(SURE).toPandas()
     if not len(sure):
         sure = only.orderBy(F.desc("bad"), "unit").limit(20).toPandas()
     bad = dict(zip(sure["unit"], np.sqrt(sure["bad"].astype(float)), strict=True))
-    doubt = only.where(F.col("bad").between(2, chance - 1)).orderBy(F.desc("bad"), "unit").limit(20_000).toPandas()["unit"].tolist()
-    usual = counts.where("good > 0").orderBy(F.desc("good"), "unit").limit(1000).toPandas()["unit"].tolist()
-    others = counts.where("good > 0").orderBy(hashed, "unit").limit(6000).toPandas()["unit"].tolist()
+    doubt = only.where(F.col("bad").between(2, chance - 1)).orderBy(F.desc("bad"), "unit").limit(DOUBTED).toPandas()["unit"].tolist()
+    usual = counts.where("good > 0").orderBy(F.desc("good"), "unit").limit(USUAL).toPandas()["unit"].tolist()
+    others = counts.where("good > 0").orderBy(hashed, "unit").limit(OTHERS).toPandas()["unit"].tolist()
     good = list(dict.fromkeys(others[:landmarks] + usual + others))
     for turn in range(3):
         table, bias = train_machine(good, bad, landmarks)
@@ -291,7 +304,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2000, landmarks: int
         if turn < 2:
             clean = sorted(set(seen.loc[(seen["label"] == 0) & (seen["m1"] > -0.8), "unit"]))
             found = margins(doubt, table, bias) if doubt else np.empty(0)
-            near = [w for w, m in zip(doubt, found, strict=True) if m > 0.5][:1500]
+            near = [w for w, m in zip(doubt, found, strict=True) if m > 0.5][:FOUND]
             bad |= {w: 1.0 for w in near if w not in bad}
             good = list(dict.fromkeys(clean[: landmarks // 2] + [w for w in good if w not in bad] + clean))
     model.link = _calibrate(seen[["m1", "m2"]].to_numpy(), seen["label"].to_numpy(float))
