@@ -101,11 +101,13 @@ def load_full(
     snapshot_date: dt.date | None = None,
     high: dt.datetime | None = None,
     strict: bool = False,
+    count_dropped: bool = False,
 ) -> dict[str, int]:
     """Write all seven targets anew, as one version; returns rows written per table.
 
     Readers see the old tables until all new ones are there. ``high`` keeps purchases up to a mark and stores it for the next increment.
-    With ``strict`` nothing is written when a row breaks a declared rule.
+    With ``strict`` nothing is written when a row breaks a declared rule. With ``count_dropped`` also returned:
+    ``dropped_…``, lines its inner joins left out, as an increment does (a second pass over the lines).
     """
     snapshot_date = snapshot_date or dt.datetime.now(dt.UTC).date()
     purchases = tables["purchases"] if high is None else created_between(tables["purchases"], None, high)
@@ -127,6 +129,8 @@ def load_full(
                 store.replace(SNAPSHOT_MARK, store.spark.createDataFrame([], DAY_MARK))
             if high is not None:
                 save_mark(store, high)
+        if count_dropped:
+            written |= _dropped(purchases, tables, days)
     return written
 
 

@@ -295,3 +295,9 @@ def test_readers_never_see_new_dimensions_with_old_facts(spark, toy):
     loads.load_incremental(toy, store, HIGH, DAY2)
     assert len(seen) >= 4 and set(seen) == {(3, 3)}
     assert loads.read_target(reader, "dim_time").count() == 6 and loads.read_target(reader, "fact_sales").count() == 6
+
+
+def test_a_full_load_counts_the_lines_it_leaves_out(spark, toy):
+    written = loads.load_full(toy, new_store(spark), DAY2, count_dropped=True)
+    assert {k: v for k, v in written.items() if k.startswith("dropped_")} == {"dropped_no_date": 0, "dropped_no_status": 1, "dropped_no_price": 1}
+    assert written["fact_sales"] == toy["purchases_items"].count() - 2
