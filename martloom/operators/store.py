@@ -197,15 +197,16 @@ class TableStore:
         update_columns: Sequence[str],
         schema: T.StructType,
         order_by: Sequence[str] = (),
+        unique: bool = False,
     ) -> int:
         """Insert new keys, replace ``update_columns`` of known ones; the last row of a repeated key wins. Returns the table's rows.
 
-        The source is grouped and stored once. Only buckets that hold one of its keys are read and written, once
+        The source is grouped and stored once; one that is ``unique`` holds every key once and is stored already. Only buckets that hold one of its keys are read and written, once
         each; the files of all others stay. A table that outgrew its buckets, or has none yet, is written whole.
         """
         keys = list(keys)
         entry = self._tables().get(table) or {"parts": [], "rows": 0}
-        incoming = materialize(last_per_key(source, keys, order_by).select(*schema.names), "upsert")
+        incoming = source.select(*schema.names) if unique else materialize(last_per_key(source, keys, order_by).select(*schema.names), "upsert")
         wanted = max(1, -(-entry["rows"] // self.rows_per_bucket))
         buckets = entry.get("buckets", 1)
         if wanted > 2 * buckets:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
-from martloom.operators.merge import first_per_key, in_ranges, key_ranges, rows_to_insert
+from martloom.operators.merge import first_per_key, in_ranges, key_ranges, last_per_key, rows_to_insert
 from martloom.operators.quality import check, enforce, violations
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
@@ -207,12 +207,13 @@ def _hold_to_rules(store: TableStore, name: str, batch: DataFrame) -> None:
 
 
 def _upsert(store: TableStore, name: str, changed: DataFrame, strict: bool) -> int:
-    changed = materialize(changed, "dimension-batch")
+    table = TARGETS[name]
+    changed = materialize(changed if strict else last_per_key(changed, table.key), "dimension-batch")
     if changed.isEmpty():
         return 0
     if strict:
         _hold_to_rules(store, name, changed)
-    return store.upsert(name, changed, TARGETS[name].key, UPSERT_COLUMNS[name], TARGETS[name].struct)
+    return store.upsert(name, changed, table.key, UPSERT_COLUMNS[name], table.struct, unique=not strict)
 
 
 def _add_sales(
