@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.session import materialize
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 ARROW_ROWS = 1000  # rows of an Arrow batch
@@ -32,6 +34,20 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``materialize``, with the shuffle files behind it dropped at once: the table is there to be read again, not they."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLES_END, None)
+    conf.set(SHUFFLES_END, "true")
+    try:
+        return materialize(df, purpose)
+    finally:
+        conf.unset(SHUFFLES_END) if before is None else conf.set(SHUFFLES_END, before)
+
+
 def crc_of_id(doc_id: Column) -> Column:
     """crc32 of the id written as text; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary"))

@@ -19,10 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import bit_filter, lists, passes, pieces, small_batches
+from martloom.llm.common import bit_filter, lists, passes, pieces, small_batches, stored
 from martloom.llm.components import components
 from martloom.llm.hashing import mix, shingles, word_hashes
-from martloom.session import materialize
 
 OFTEN = 4  # a token in so many documents of a chunk may be frequent
 FREQUENT = 1 << 20  # most tokens that can be frequent: 8 MB in every worker
@@ -168,13 +167,13 @@ def links(sets: DataFrame) -> DataFrame:
     tokens = sets.select("doc_id", F.explode("tokens").alias("token"))
     # counts are stored before they are joined back: then both sides of each join are plain exchanges, and adaptive execution
     # splits a hot token; beside an aggregate of the same stage it would not
-    spread = materialize(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "spread")
+    spread = stored(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "spread")
     own = (
         tokens.join(spread, "token")
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     )
-    entries = materialize(
+    entries = stored(
         sets.select("doc_id", "n")
         .join(own, "doc_id")
         .select("doc_id", "n", F.size("shared").alias("c"), "shared")
@@ -183,8 +182,8 @@ def links(sets: DataFrame) -> DataFrame:
         .select("doc_id", "n", "c", "pos", F.col("t.token").alias("token")),
         "entries",
     )
-    pivot = materialize(entries.groupBy("token").agg(F.min(F.struct(F.expr("n - c").alias("u"), "doc_id", "n", "c", "pos")).alias("p")), "pivots")
-    stars = materialize(
+    pivot = stored(entries.groupBy("token").agg(F.min(F.struct(F.expr("n - c").alias("u"), "doc_id", "n", "c", "pos")).alias("p")), "pivots")
+    stars = stored(
         entries.alias("e")
         .join(pivot.select("token", "p.*").alias("p"), "token")
         .where(F.expr("e.doc_id <> p.doc_id") & _possible("e", "p"))
@@ -192,13 +191,13 @@ def links(sets: DataFrame) -> DataFrame:
         .distinct(),
         "stars",
     )
-    first = materialize(_verified(stars, sets), "links")
+    first = stored(_verified(stars, sets), "links")
     labels = components(first)
-    placed = materialize(
+    placed = stored(
         entries.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id")),
         "placed",
     )
-    torn = materialize(
+    torn = stored(
         placed.groupBy("token", "label")
         .agg(F.count("*").alias("k"))
         .groupBy("token")
@@ -207,7 +206,7 @@ def links(sets: DataFrame) -> DataFrame:
         .select("token", "top"),
         "torn",
     )
-    open_keys = materialize(placed.join(torn, "token"), "open")
+    open_keys = stored(placed.join(torn, "token"), "open")
     rest = (
         open_keys.where("label <> top")
         .alias("x")
@@ -217,7 +216,7 @@ def links(sets: DataFrame) -> DataFrame:
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    return first.unionByName(materialize(_verified(rest, sets), "links"))
+    return first.unionByName(stored(_verified(rest, sets), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -230,7 +229,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = materialize(docs.mapInArrow(_profile, _PROFILE), "profile")
+    seen = stored(docs.mapInArrow(_profile, _PROFILE), "profile")
     profile = seen.where("token is null").select("doc_id", "n", "digest")
     total = profile.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(total // FREQUENT, OFTEN - 1)  # leaves FREQUENT tokens at most
@@ -238,9 +237,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     frequent = np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
     known = docs.where("doc_id is not null")
-    index = materialize(known.mapInArrow(_index(frequent), "doc_id long, least int, keys array<long>"), "index")
+    index = stored(known.mapInArrow(_index(frequent), "doc_id long, least int, keys array<long>"), "index")
     keys = index.select("doc_id", "least", F.explode("keys").alias("key"))
-    common = materialize(keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key"), "common")
+    common = stored(keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("key"), "common")
     meeting = (
         keys.join(common, "key")
         .groupBy("doc_id")
@@ -248,13 +247,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("n >= least")
         .select("doc_id")
     )
-    classes = materialize(
+    classes = stored(
         profile.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")), "classes"
     )
     members = profile.where("doc_id is not null and n > 3").select("doc_id", "digest")
-    met = materialize(members.join(meeting, "doc_id", "left_semi").select("digest").distinct().join(classes, "digest").select(F.col("rep").alias("doc_id")), "met")
+    met = stored(members.join(meeting, "doc_id", "left_semi").select("digest").distinct().join(classes, "digest").select(F.col("rep").alias("doc_id")), "met")
     wanted = bit_filter(met.select(F.xxhash64("doc_id").alias("h")), "h", met.count())
-    sets = materialize(
+    sets = stored(
         known.withColumn("h", F.xxhash64("doc_id"))
         .mapInArrow(_sets(wanted), "doc_id long, n long, tokens array<long>")
         .join(met, "doc_id", "left_semi")
