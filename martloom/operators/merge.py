@@ -8,9 +8,13 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martloom.session import materialize
 
 RANGES = 32  # most key ranges pushed into one scan
 CELLS = 4096  # cells of the bitmap the ranges are read off
+_PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)  # aggregated by hash, without a sort
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) -> DataFrame:
@@ -21,21 +25,28 @@ def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) ->
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
+    if len(rest) == 1 and isinstance(df.schema[rest[0]].dataType, _PLAIN) and not set(order_by) - set(rest):
+        value = pick(rest[0])
+        if pick is F.min:  # nulls come first, as in a struct
+            value = F.when(F.count(rest[0]) == F.count(F.lit(1)), value)
+        return df.groupBy(*keys).agg(value.alias(rest[0])).select(*df.columns)
     order = list(order_by) + [c for c in rest if c not in order_by]
-    return (
-        df.groupBy(*keys)
-        .agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
-    )
+    # the row is its own order, so that it moves once
+    return df.groupBy(*keys).agg(pick(F.struct(*order)).alias("_row")).select(*(c if c in keys else F.col(f"_row.{c}") for c in df.columns))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    return _pick(df, keys, order_by, F.min_by)
+    return _pick(df, keys, order_by, F.min)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    return _pick(df, keys, order_by, F.max_by)
+    return _pick(df, keys, order_by, F.max)
+
+
+def once_per_key(stored: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """``first_per_key`` of a stored frame: keys are counted first, by hash, and rows are only moved if a key comes twice."""
+    most = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
+    return stored if (most or 0) < 2 else materialize(first_per_key(stored, keys, order_by), "first-rows")
 
 
 def difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,10 +128,10 @@ def in_ranges(df: DataFrame, column: str, ranges: Sequence[tuple]) -> DataFrame:
 
 
 def insert_ignore(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), small: bool = True
 ) -> DataFrame:
-    """The target after an insert that skips keys already there."""
-    return target.unionByName(rows_to_insert(target, source, keys, order_by))
+    """The target after an insert that skips keys already there; ``small`` as in ``rows_to_insert``."""
+    return target.unionByName(rows_to_insert(target, source, keys, order_by, small=small))
 
 
 def upsert(

@@ -12,6 +12,7 @@ from martloom.operators.merge import (
     key_ranges,
     last_per_key,
     merged,
+    once_per_key,
     rows_to_insert,
     upsert,
 )
@@ -240,3 +241,39 @@ def test_upsert_writes_only_the_buckets_it_touches(spark):
     want = {k: ("x", "x") for k in range(990)} | {k: ("y", "x") for k in range(990, 1000)} | {k: ("y", "y") for k in range(1000, 1010)}
     assert got == want | {5: ("z", "x"), 2000: ("z", "z")}
     assert store.upsert("new", batch, ["k"], ["a"], schema) == 2  # a table that isn't there yet
+
+
+def _operators(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_single_plain_column_is_picked_by_hash(spark):
+    df = spark.createDataFrame([(1, 5), (1, 3), (2, None), (2, 7), (3, None), (None, 4), (None, 2)], "k int, q int")
+    assert rows(first_per_key(df, ["k"])) == sorted([(1, 3), (2, None), (3, None), (None, 2)], key=repr)
+    assert rows(last_per_key(df, ["k"])) == sorted([(1, 5), (2, 7), (3, None), (None, 4)], key=repr)
+    assert "SortAggregate" not in _operators(first_per_key(df, ["k"]))
+
+
+def test_picked_row_moves_once(spark):
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 2), (1, "c", 1), (2, None, 1)], "k int, t string, n int")
+    first = first_per_key(df, ["k"], ["n"])
+    assert first.columns == ["k", "t", "n"] and rows(first) == [(1, "c", 1), (2, None, 1)]
+    assert rows(last_per_key(df, ["k"], ["n"])) == [(1, "b", 2), (2, None, 1)]
+    assert "min_by" not in _operators(first)
+
+
+def test_once_per_key_moves_rows_only_for_repeats(spark):
+    schema = "k int, t string, n int"
+    alone = spark.createDataFrame([(1, "a", 1), (None, "b", 2)], schema)
+    assert once_per_key(alone, ["k"]) is alone
+    twice = spark.createDataFrame([(1, "b", 1), (1, "a", 1), (None, "d", 2), (None, "c", 2)], schema)
+    assert rows(once_per_key(twice, ["k"])) == sorted([(1, "a", 1), (None, "c", 2)], key=repr)
+    assert once_per_key(alone.where("false"), ["k"]).count() == 0
+
+
+def test_insert_ignore_of_a_large_batch_reads_it_once(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20)], "k int, q int")
+    source = spark.createDataFrame([(2, 99), (3, 31), (3, 30), (None, 5)], "k int, q int")
+    found = insert_ignore(target, source, ["k"], small=False)
+    assert rows(found) == rows(insert_ignore(target, source, ["k"]))
+    assert "LeftSemi" not in _operators(found)
