@@ -119,6 +119,9 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return table in self._tables()
 
+    def rows(self, table: str) -> int:
+        return self._tables().get(table, {"rows": 0})["rows"]
+
     def _read(self, table: str, parts: Sequence[str], schema: T.StructType) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], schema)

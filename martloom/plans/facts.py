@@ -70,6 +70,25 @@ def fact_sales(
     return valued.select(*shaped, *(["year"] if keep_year else []))
 
 
+def judged_sales(
+    purchases: DataFrame, status: DataFrame, lines: DataFrame, prices: DataFrame, dim_time: DataFrame
+) -> DataFrame:
+    """The lines of the purchases as facts with their year; ``_status`` and ``_price`` are null where a line waits for one.
+
+    Rows with both are ``fact_sales``, the others its dropped lines. A date that dim_time lacks fails the job.
+    """
+    stated = status.select("purchase_id", F.col("status").alias("purchase_status"), F.lit(True).alias("_status"))
+    priced = prices.select("item_id", "size_id", "value", F.lit(True).alias("_price"))
+    judged = (
+        with_lines(dated_purchases(purchases, dim_time, True), lines)
+        .join(stated, "purchase_id", "left")
+        .join(priced, ["item_id", "size_id"], "left")
+        .withColumn("line_value", line_value(F.col("value"), F.col("quantity_sold")))
+    )
+    shaped = [F.col(c.name).cast(c.type).alias(c.name) for c in TARGETS["fact_sales"].columns]
+    return judged.select(*shaped, "year", "_status", "_price")
+
+
 def dropped_lines(
     purchases: DataFrame, status: DataFrame, lines: DataFrame, prices: DataFrame, dim_time: DataFrame
 ) -> DataFrame:

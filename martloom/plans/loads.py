@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
-from martloom.operators.merge import first_per_key, in_ranges, key_ranges, last_per_key, rows_to_insert
+from martloom.operators.merge import in_ranges, key_ranges, last_per_key, once_per_key, rows_to_insert
 from martloom.operators.quality import check, enforce, violations
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
@@ -25,6 +25,7 @@ from martloom.sources.tables import created_between, extract
 MARK = T.StructType([T.StructField("high", T.TimestampNTZType())])
 SNAPSHOT_MARK = "snapshot_mark"
 DAY_MARK = T.StructType([T.StructField("date_id", T.LongType()), T.StructField("high", T.TimestampNTZType())])
+SMALL = 16  # a batch of less than this part of a target is small beside it
 DEFAULT_LOW = dt.datetime(2025, 4, 22, 3)  # midnight of the first load day in local time, as UTC
 
 # Facts lie in one folder per order year or snapshot day, both functions of the fact's
@@ -57,7 +58,7 @@ def create_targets(store: TableStore) -> None:
         _together({table: partial(store.replace, table, df) for table, df in empty.items()})
 
 
-def _together(jobs: Mapping[str, Callable[[], int]]) -> dict[str, int]:
+def _together(jobs: Mapping[str, Callable[[], int | dict]]) -> dict:
     """Run writes that do not depend on each other side by side, so that small ones fill idle slots."""
     with ThreadPoolExecutor(len(jobs)) as pool:
         started = {name: pool.submit(copy_context().run, job) for name, job in jobs.items()}
@@ -191,7 +192,8 @@ def apply_delta(
             "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id, strict, high),
         }
     )
-    return written | _dropped(purchases, owned, days)
+    sold = written.pop("fact_sales")
+    return written | sold
 
 
 def _dropped(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame) -> dict[str, int]:
@@ -218,16 +220,25 @@ def _upsert(store: TableStore, name: str, changed: DataFrame, strict: bool) -> i
 
 def _add_sales(
     store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame, strict: bool
-) -> int:
-    # the batch is looked at several times (its years, its keys, its rows): join and group it once
-    key = TARGETS["fact_sales"].key
-    joined = _sales(purchases, tables, days, True)
-    sales = materialize(joined if strict else first_per_key(joined, key), "sales-batch")
+) -> dict[str, int]:
+    # the batch is looked at several times (its years, its keys, its rows, the lines it lacks something for): join it once
+    key, given = TARGETS["fact_sales"].key, F.col("_status") & F.col("_price")
+    lookups = (tables[n] for n in ("purchases_status", "purchases_items", "prices"))
+    judged = materialize(facts.judged_sales(purchases, *lookups, days), "judged-sales")
+    found = judged.agg(
+        F.count_if(given).alias("rows"), F.count_if(F.col("_status").isNull()).alias("no_status"), F.count_if(F.col("_price").isNull()).alias("no_price")
+    ).first()
+    sales = judged.where(given).drop("_status", "_price")
     if strict:
         _hold_to_rules(store, "fact_sales", sales)
+    else:
+        sales = once_per_key(sales, key)
     stored = store.read("fact_sales", stored_schema("fact_sales"))
-    fresh = rows_to_insert(stored, sales, key, within="year", ranged="purchase_id", unique=not strict)
-    return store.append("fact_sales", fresh, **LAYOUT["fact_sales"])
+    small = found["rows"] * SMALL < store.rows("fact_sales")
+    fresh = rows_to_insert(stored, sales, key, within="year", ranged="purchase_id", small=small, unique=not strict)
+    written = store.append("fact_sales", fresh, **LAYOUT["fact_sales"])
+    # a line without date has failed the job before
+    return {"fact_sales": written, "dropped_no_date": 0, "dropped_no_status": found["no_status"], "dropped_no_price": found["no_price"]}
 
 
 def _add_snapshot(store: TableStore, inventory: DataFrame, date_id: int, strict: bool, high: dt.datetime | None = None) -> int:
