@@ -52,8 +52,7 @@ def register_orders(
             raise ValueError("limit needs the purchases that are stored")
         require_room(purchases, limit)
     stamp = _stamp(created_at)
-    lines = materialize(basket_lines(orders), "basket-lines")  # counted per stock key, then allocated
-    judged = materialize(allocate(lines, inventory, STOCK_KEYS, ["order_seq"], max_group=max_group), "allocated")
+    judged = materialize(allocate(basket_lines(orders), inventory, STOCK_KEYS, ["order_seq"], max_group=max_group), "allocated")
     accepted = judged.where("accepted").drop("accepted")
     kept = orders.drop("lines").join(accepted.select("order_seq").distinct(), "order_seq", "left_semi")
     header = materialize(dense_ids(kept, ["order_seq"], "purchase_id", last_id + 1), "purchases")

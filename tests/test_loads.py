@@ -9,7 +9,7 @@ from martloom.operators.quality import RuleViolation
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts, loads
 from martloom.schema import TARGETS
-from martloom.session import prepare, work_path
+from martloom.session import materialize, prepare, work_path
 from martloom.sources.tables import extract
 from registry.base import Inputs
 
@@ -337,3 +337,21 @@ def test_what_a_task_reads_of_a_shuffle_is_bounded(spark):
             assert prepare(spark).conf.get(name) == kept
     finally:
         spark.conf.set(name, before)
+
+
+def _stored(monkeypatch, *modules) -> list[str]:
+    """Purposes for which the modules write frames down from here on."""
+    seen = []
+    for module in modules:
+        monkeypatch.setattr(module, "materialize", lambda df, purpose="cut": seen.append(purpose) or materialize(df, purpose))
+    return seen
+
+
+def test_basket_lines_are_stored_once(spark, monkeypatch):
+    from martloom.operators import stock
+    from martloom.plans import registration
+    from registry import loads as queries
+
+    seen = _stored(monkeypatch, stock, registration)
+    queries.ord_register(Inputs(spark, SF_DIR))
+    assert [p for p in seen if "lines" in p] == ["lines"]
