@@ -206,7 +206,7 @@ def stream_allocate(
             compact_ledger(spark, root, stock_schema, keys, (run, batch_id))
         with staging(spark):
             moved = materialize(_moved(spark, root, stock_schema, keys, (run, batch_id)), "moved")
-            known = _folders(spark, root, "allocated", line_schema, others).select(*line_schema.names).distinct()
+            known = _folders(spark, root, "allocated", line_schema, others).select(*line_schema.names)
             same = reduce(and_, (batch[c].eqNullSafe(known[c]) for c in line_schema.names))
             judged = allocate(
                 batch.join(known, same, "left_anti"), apply_decrements(opening, moved, keys), keys, order_by, max_group=max_group
