@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import ASCII_LOWER, ASCII_UPPER, named
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of a lower-cased text
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# The separators stand one by one: Java looks such a class up in one table, where it tries ranges one after another.
+SEPARATORS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+GAP = "[" + "".join(f"\\x{ord(c):02x}" for c in SEPARATORS) + "]"
+LETTER = "[^" + GAP[1:]
+WORD = LETTER + "++"
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 AGREE = 0.6  # share of a template's rare words, by weight, that must agree on its place
 COMMON = 5  # words in the templates of more labels than this are not indexed
@@ -76,7 +79,10 @@ TEMPLATES = (
 
 @dataclass(frozen=True)
 class Index:
-    """``postings``: word -> [(template, place, weight)]; ``need`` and ``total`` weight, phrases with places by template."""
+    """``postings``: word -> [(template, place, weight)]; ``total`` weight and phrases with places by template.
+
+    ``anchors``: neighbouring words of mandatory phrases. Every template has one of its own among them, the rarest.
+    """
 
     labels: list[str]
     postings: dict[str, list[tuple[int, int, float]]]
@@ -109,7 +115,8 @@ def build(templates=TEMPLATES) -> Index:
                 raise ValueError(f"{label}: {phrase!r} is not in its notice")
             own.append((at[0], parts))
         phrases.append(own)
-        anchors.append("spdx" if "spdx" in ws else max((w for _, parts in own for w in parts if not w.isdigit()), key=lambda w: (-spread[w], len(w), w)))
+        pairs = [parts[k : k + 2] for _, parts in own for k in range(max(1, len(parts) - 1))]
+        anchors.append(" ".join(min(pairs, key=lambda p: ("spdx" not in p, any(w.isdigit() for w in p), sum(spread[w] for w in p), p))))
     return Index([label for label, _, _ in templates], postings, total, phrases, sorted(set(anchors)))
 
 
@@ -121,7 +128,7 @@ def _stands(words: Column, start: Column, phrase: list[str]) -> Column:
 
 
 def _places(words: Column, phrase: list[str]) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: _stands(words, i.cast("int"), phrase))
+    return F.array_compact(F.transform(words, lambda w, i: F.when((w == phrase[0]) & _stands(words, i, phrase), i)))
 
 
 def _found(words: Column, index: Index) -> Column:
@@ -134,11 +141,11 @@ def _found(words: Column, index: Index) -> Column:
         )
     )
     rare = sorted(index.postings)
-    there = F.filter(F.transform(words, lambda w, i: named(w=w, i=i)), lambda h: h["w"].isin(rare))
+    there = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(rare), i)))
     hits = F.array_sort(
         F.flatten(
             F.transform(
-                there, lambda h: F.transform(F.try_element_at(lookup, h["w"]), lambda q: named(t=q["t"], off=h["i"] - q["p"], x=q["x"]))
+                there, lambda i: F.transform(F.try_element_at(lookup, F.get(words, i)), lambda q: named(t=q["t"], off=i - q["p"], x=q["x"]))
             )
         )
     )
@@ -171,20 +178,30 @@ def _found(words: Column, index: Index) -> Column:
     return F.transform(F.filter(agreed, check), lambda c: named(t=c["t"], share=F.least(F.lit(1.0), c["x"] / F.get(whole, c["t"]))))
 
 
+def count_words(text: Column) -> Column:
+    """Words of a text, without an array of them: each, with the gap behind it, shrinks to one character."""
+    return F.length(F.regexp_replace(F.ltrim(text, F.lit(SEPARATORS)), F.lit(f"{WORD}{GAP}*+"), F.lit("x"))).cast("long")
+
+
+def concerned(text: Column, index: Index) -> Column:
+    """Whether a base phrase stands in ``text``, or the anchor of a template; no template and no base phrase stands in any other text."""
+    phrases = sorted({*index.anchors, *(p for p, _ in BASE)})
+    there = "|".join(f"{GAP}++".join(map(re.escape, p.split())) for p in phrases)
+    return text.rlike(f"(?i)(?<!{LETTER})(?:{there})(?!{LETTER})")
+
+
 def scan(docs: DataFrame, index: Index | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row.
 
     Base phrases are counted wherever their words stand one behind another. Templates add labels of their own; ``score`` is the largest
     share of a verified template's rare words that agree, 0.5 where only a base phrase stands, else 0. A null
     text counts as empty. Rows are scanned one by one: null and repeated ids and rows, and other columns, don't matter.
-    Only texts with a word that some phrase needs are split into words.
+    Only texts in which an anchor or a base phrase stands are split into words.
     """
     index = index or build()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    anchors = sorted({*index.anchors, *(max(p.split(), key=len) for p, _ in BASE)})
-    concerned = text.rlike("(?i)(?:" + "|".join(map(re.escape, anchors)) + ")")
     lower = F.translate(text, ASCII_UPPER, ASCII_LOWER)
-    words = F.when(concerned, F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
+    words = F.when(concerned(text, index), F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
 
     def row(w: Column) -> Column:
         places = [(_places(w, p.split()), label) for p, label in BASE]
@@ -196,7 +213,7 @@ def scan(docs: DataFrame, index: Index | None = None) -> DataFrame:
 
     names = F.array(*(F.lit(x) for x in index.labels))
     return (
-        docs.select("doc_id", F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"), words.alias("w"))
+        docs.select("doc_id", count_words(text).alias("n_words"), words.alias("w"))
         .select("doc_id", "n_words", F.when(F.size("w") > 0, F.element_at(F.transform(F.array("w"), row), 1)).alias("r"))
         .select(
             "doc_id",

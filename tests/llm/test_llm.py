@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import random
 import re
@@ -566,6 +567,28 @@ def test_gnu_headers_and_spdx_lines_tell_the_licence(spark):
         assert {x for x in got[k].labels.split(",") if x in gnu} == {label} - {""}, text
 
 
+def test_only_texts_with_words_that_stand_together_are_split(spark):
+    index = licenses.build()
+    mere = ["and once a sand mitten, 2 nd of nc; cc", "a license. The general library, mit", "public licenses of mozilla", "mit-licensed", "émit license", "mit licenseé", "", None]
+    real = ["MIT--License", "(apache\nLICENSE)", "cc by-nc-nd 4.0", "é SPDX-License-Identifier: GPL-2.0", *(notice for _, notice, _ in licenses.TEMPLATES)]
+    rows = documents(spark, [(k, t, "s") for k, t in enumerate(mere + real)])
+    got = {r.doc_id: r.c for r in rows.select("doc_id", licenses.concerned(F.coalesce("text", F.lit("")), index).alias("c")).collect()}
+    assert [k for k, c in got.items() if c] == list(range(len(mere), len(mere + real)))
+    every = dataclasses.replace(index, anchors=sorted({*index.postings, "license"}))  # texts with any indexed word
+    for frame in (rows, table(spark, SF_DIR, "documents")):
+        assert sorted(map(repr, licenses.scan(frame, index).collect())) == sorted(map(repr, licenses.scan(frame, every).collect()))
+
+
+def test_license_words_of_any_characters_and_of_very_long_texts(spark):
+    signs = [chr(c) for c in (*range(1, 0x250), 0x212A, 0x2028, 0xFEFF, 0x1F600, 0x10FFFF)]
+    texts = [*(f"{c}a{c}{c}B{c}" for c in signs), *signs, "nd mit " * 200_000 + "MIT License", " \n" * 200_000 + "mit" + "-" * 200_000 + "license"]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, [(k, t, "s") for k, t in enumerate(texts)])).collect()}
+    for k, text in enumerate(texts):
+        assert (got[k].n_words, got[k].n_base, got[k].first_word, got[k].last_word, got[k].base_labels) == brute_base(text), text[:9]
+    plan = licenses.scan(documents(spark, EDGE)).select("n_words")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan and "regexp_extract_all" not in plan  # no array of words is made to count them
+
+
 # --- secrets ------------------------------------------------------------------------
 
 
