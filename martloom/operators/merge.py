@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.session import materialize
+from martloom.session import materialize, shuffles_end
 
 RANGES = 32  # most key ranges pushed into one scan
 CELLS = 4096  # cells of the bitmap the ranges are read off
@@ -45,7 +45,8 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (
 
 def once_per_key(stored: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """``first_per_key`` of a stored frame: keys are counted first, by hash, and rows are only moved if a key comes twice."""
-    most = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
+    with shuffles_end(stored.sparkSession):
+        most = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
     return stored if (most or 0) < 2 else materialize(first_per_key(stored, keys, order_by), "first-rows")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.operators.merge import in_ranges, key_ranges, last_per_key, merged
-from martloom.session import delete, materialize
+from martloom.session import delete, materialize, shuffles_end
 
 MANIFESTS = "_manifest"
 KEPT_MANIFESTS = 20
@@ -271,5 +271,6 @@ class TableStore:
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         if self.max_rows_per_file:
             writer = writer.option("maxRecordsPerFile", self.max_rows_per_file)
-        writer.partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
+        with shuffles_end(df.sparkSession):
+            writer.partitionBy(*partition_by).parquet(f"{self.root}/{table}/{folder}")
         return folder, seen.get["rows"]

@@ -1,4 +1,6 @@
 import datetime as dt
+import threading
+import time
 
 import pytest
 from conftest import D, NEW, OLD, SF_DIR, rows
@@ -6,10 +8,11 @@ from pyspark.sql import functions as F
 
 from martloom.operators.audit import LimitReached, NoNewRecords, require_room
 from martloom.operators.quality import RuleViolation
+from martloom.operators.merge import once_per_key
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts, loads
 from martloom.schema import TARGETS
-from martloom.session import materialize, prepare, work_path
+from martloom.session import SHUFFLES_END, materialize, prepare, shuffles_end, work_path
 from martloom.sources.tables import extract
 from registry.base import Inputs
 
@@ -363,3 +366,39 @@ def test_basket_lines_are_stored_once(spark, monkeypatch):
     seen = _stored(monkeypatch, stock, registration)
     queries.ord_register(Inputs(spark, SF_DIR))
     assert [p for p in seen if "lines" in p] == ["lines"]
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(k).getName() for k in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_end_with_the_write_behind_them(spark):
+    before, store = _shuffle_files(spark), new_store(spark)
+    grouped = spark.range(10_000).groupBy((F.col("id") % 701).alias("k")).count()
+    once_per_key(materialize(grouped), ["k"])
+    assert store.replace("grouped", grouped) == 701
+    until = time.time() + 20  # files are dropped behind the query, not by it
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_blocks_that_end_shuffles_may_overlap(spark):
+    before, inside, done, seen = spark.conf.get(SHUFFLES_END, None), threading.Event(), threading.Event(), []
+
+    def other():
+        with shuffles_end(spark):
+            inside.set()
+            done.wait(20)
+            seen.append(spark.conf.get(SHUFFLES_END))
+
+    thread = threading.Thread(target=other)
+    with shuffles_end(spark):
+        thread.start()
+        assert inside.wait(20)
+    assert spark.conf.get(SHUFFLES_END) == "true"  # the other block is open still
+    done.set()
+    thread.join()
+    assert seen == ["true"] and spark.conf.get(SHUFFLES_END, None) == before
