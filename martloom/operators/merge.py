@@ -123,6 +123,17 @@ def key_ranges(df: DataFrame, column: str, bounds: tuple | None = None) -> list[
     return [(cells[a][0], cells[b - 1][1]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def key_slices(df: DataFrame, column: str, size: int, most: int) -> list[tuple[int, int]]:
+    """Disjoint ranges that hold every integer key and about equally many rows: one for up to ``size`` rows, then 2, 4, … up to ``most``, a power of two."""
+    quantiles = F.percentile_approx(column, [k / most for k in range(1, most)])
+    low, high, rows, cuts = df.agg(F.min(column), F.max(column), F.count(column), quantiles).first()
+    if low is None:
+        return []
+    parts = min(most, 1 << (-(-rows // size) - 1).bit_length())
+    ends = sorted({*cuts[most // parts - 1 :: most // parts], high}) if parts > 1 else [high]
+    return list(zip([low, *(e + 1 for e in ends)], ends, strict=False))
+
+
 def in_ranges(df: DataFrame, column: str, ranges: Sequence[tuple]) -> DataFrame:
     """Rows whose key lies in one of the ranges: literals, so that scans skip by file statistics."""
     return df.where(reduce(or_, (F.col(column).between(*r) for r in ranges)) if ranges else F.lit(False))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from functools import partial
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.calendar import zoneless
 from martloom.operators.audit import require_rows
-from martloom.operators.merge import in_ranges, key_ranges, last_per_key, once_per_key, rows_to_insert
+from martloom.operators.merge import in_ranges, key_range, key_ranges, key_slices, last_per_key, once_per_key, rows_to_insert
 from martloom.operators.quality import check, enforce, violations
 from martloom.operators.store import TableStore
 from martloom.plans import dims, facts
@@ -26,6 +27,9 @@ MARK = T.StructType([T.StructField("high", T.TimestampNTZType())])
 SNAPSHOT_MARK = "snapshot_mark"
 DAY_MARK = T.StructType([T.StructField("date_id", T.LongType()), T.StructField("high", T.TimestampNTZType())])
 SMALL = 16  # a batch of less than this part of a target is small beside it
+# Facts of more purchases than SLICE are joined and written in up to SLICES slices, so that the shuffles of
+# one slice lie on disk at a time.
+SLICE, SLICES = 1_000_000, 8
 DEFAULT_LOW = dt.datetime(2025, 4, 22, 3)  # midnight of the first load day in local time, as UTC
 
 # Facts lie in one folder per order year or snapshot day, both functions of the fact's
@@ -86,6 +90,26 @@ def _sales(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFram
     )
 
 
+def _of_purchases(tables: Mapping[str, DataFrame], ranges: Sequence[tuple]) -> dict[str, DataFrame]:
+    """The tables with lines and status of other purchases kept out by ranges of ids, exactly and by file statistics."""
+    return {**tables} | {n: in_ranges(tables[n], "purchase_id", ranges) for n in ("purchases_items", "purchases_status")}
+
+
+def _slices(purchases: DataFrame) -> list[DataFrame]:
+    """The purchases, by ranges of their ids once they are many: facts are joined and written slice by slice, none left out."""
+    cuts = key_slices(purchases, "id", SLICE, SLICES)
+    return [in_ranges(purchases, "id", [cut]) for cut in cuts] if len(cuts) > 1 else [purchases]
+
+
+def _replace_sales(store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame) -> int:
+    written, slices = 0, _slices(purchases)
+    for k, some in enumerate(slices):
+        own = _of_purchases(tables, [key_range(some, "id")]) if len(slices) > 1 else tables
+        write = store.append if k else store.replace
+        written += write("fact_sales", _sales(some, own, days, False), **LAYOUT["fact_sales"])
+    return written
+
+
 def save_mark(store: TableStore, high: dt.datetime, of: str = "load") -> None:
     store.replace(f"{of}_mark", store.spark.range(1).select(zoneless(high).alias("high")))
 
@@ -124,6 +148,8 @@ def load_full(
             built = {name: materialize(df, "checked") for name, df in built.items()}
             enforce(check(built, TARGETS))
         writes = {name: partial(store.replace, name, df, **LAYOUT.get(name, {})) for name, df in built.items()}
+        if not strict:
+            writes["fact_sales"] = partial(_replace_sales, store, purchases, tables, days)
         with store.as_one():
             written = _together(writes)
             if store.exists(SNAPSHOT_MARK):  # of days numbered before
@@ -183,17 +209,14 @@ def apply_delta(
     changes = _dimensions(delta, tables)
     written |= _together({name: partial(_upsert, store, name, df, strict) for name, df in changes.items()})
     date_id = facts.date_id_of(days, snapshot_date)
-    # lines and status of other purchases are kept out by the ranges of ids, exactly and by file statistics
-    ranges = key_ranges(purchases, "id")
-    owned = {**tables} | {n: in_ranges(tables[n], "purchase_id", ranges) for n in ("purchases_items", "purchases_status")}
-    written |= _together(
-        {
-            "fact_sales": partial(_add_sales, store, purchases, owned, days, strict),
-            "fact_inventory": partial(_add_snapshot, store, tables["inventory"], date_id, strict, high),
-        }
-    )
-    sold = written.pop("fact_sales")
-    return written | sold
+    # the large tables one after the other, so that the shuffles of both do not lie on disk at once
+    sold: Counter[str] = Counter()
+    slices = [purchases] if strict else _slices(purchases)  # rules are held before the first row is written
+    for some in slices:
+        with staging(store.spark):
+            sold.update(_add_sales(store, some, tables, days, strict, len(slices) > 1))
+    snapshot = _add_snapshot(store, tables["inventory"], date_id, strict, high)
+    return {**written, "fact_inventory": snapshot, **sold}
 
 
 def _dropped(purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame) -> dict[str, int]:
@@ -219,8 +242,9 @@ def _upsert(store: TableStore, name: str, changed: DataFrame, strict: bool) -> i
 
 
 def _add_sales(
-    store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame, strict: bool
+    store: TableStore, purchases: DataFrame, tables: Mapping[str, DataFrame], days: DataFrame, strict: bool, sliced: bool = False
 ) -> dict[str, int]:
+    tables = _of_purchases(tables, key_ranges(purchases, "id"))
     # the batch is looked at several times (its years, its keys, its rows, the lines it lacks something for): join it once
     key, given = TARGETS["fact_sales"].key, F.col("_status") & F.col("_price")
     lookups = (tables[n] for n in ("purchases_status", "purchases_items", "prices"))
@@ -234,7 +258,7 @@ def _add_sales(
     else:
         sales = once_per_key(sales, key)
     stored = store.read("fact_sales", stored_schema("fact_sales"))
-    small = found["rows"] * SMALL < store.rows("fact_sales")
+    small = not sliced and found["rows"] * SMALL < store.rows("fact_sales")
     fresh = rows_to_insert(stored, sales, key, within="year", ranged="purchase_id", small=small, unique=not strict)
     written = store.append("fact_sales", fresh, **LAYOUT["fact_sales"])
     # a line without date has failed the job before
